@@ -41,6 +41,35 @@ def with_position(df: DataFrame, order: Sequence[Column], out: str = "pos") -> D
     )
 
 
+def position_in_group(
+    df: DataFrame, group: str, order: Sequence[Column], out: str = "pos"
+) -> DataFrame:
+    """1-based place of every row in the sorted rows of its group.
+
+    Rows are range-sorted by (group, order), so a dominant group is sorted by several tasks;
+    each adds what the tasks before it hold of the same group.
+    """
+    parts = _sorted_parts(df, [F.col(group), *order])
+    counts = parts.groupBy(group, "__part").agg(
+        F.count("*").alias("__n"), F.min("__place").alias("__first")
+    )
+    # One row per group and partition holding it: about partitions + groups rows.
+    before = Window.partitionBy(group).orderBy("__part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = counts.select(
+        F.col(group).alias("__g"),
+        F.col("__part").alias("__p"),
+        (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__off"),
+    )
+    same = (F.col("__p") == F.col("__part")) & F.col("__g").eqNullSafe(F.col(group))
+    return (
+        parts.join(offsets, same)
+        .withColumn(out, F.col("__place") + F.col("__off") + 1)
+        .select(*df.columns, out)
+    )
+
+
 def running_sum(df: DataFrame, order: Sequence[Column], value: str, out: str) -> DataFrame:
     """Running total of `value` in the global order, as partition sums plus a sum within."""
     parts = _sorted_parts(df, order)

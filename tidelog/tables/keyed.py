@@ -262,6 +262,16 @@ class MergeOnRead(KeyedTable):
             resolve(again, keys, spec.order_by, deletes)
         )
 
+    def bulk_insert(self, df: DataFrame, commit: str | None = None) -> str:
+        """Append rows as they come, each a version of its own in `versions`."""
+        return self.insert(df, commit)
+
+    def versions(self, after: str = "", upto: str | None = None) -> DataFrame:
+        """Every row written in the commits (after, upto], not folded."""
+        return commits.read(
+            self.spark, self.log, self._between("log", after, upto), self._stored()
+        )
+
     def incremental(
         self, begin: str = FIRST, end: str | None = None, with_deletes: bool = False
     ) -> DataFrame:

@@ -196,12 +196,15 @@ def asof_left_join(
     last = rrows.groupBy(*on, "__slice").agg(
         F.max_by("__held", F.struct("__x", "__tie")).alias("__held")
     )
-    # Slices a key has left rows in, plus its versions: at most two rows per key and slice.
+    # The slices a key has left rows in and those it has versions in: at most two rows per key
+    # and slice go through this window.
     wanted = lrows.select(*on, "__slice").distinct().withColumn("__want", F.lit(1))
-    upto = Window.partitionBy(*on).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*on).orderBy("__slice").rangeBetween(
+        Window.unboundedPreceding, -1
+    )
     carry = (
-        last.join(wanted, [*on, "__slice"], "full")
-        .withColumn("__held", F.last("__held", ignorenulls=True).over(upto))
+        last.unionByName(wanted, allowMissingColumns=True)
+        .withColumn("__held", F.last("__held", ignorenulls=True).over(earlier))
         .where("__want = 1 and __held is not null")
         .select(*on, "__slice", "__held", F.lit(0).alias("__kind"))
     )

@@ -44,19 +44,24 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as named by `spark.checkpoint.dir`.
 
     Only a local session, where driver and executors share one disk, may go without it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
         if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidelog-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if context.applicationId not in _local_dirs:
+            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidelog-")
+        root = _local_dirs[context.applicationId]
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root
 
 

@@ -32,10 +32,10 @@ def tumbling(
     df: DataFrame, time: str, size: str, keys: Sequence[str], *aggregates: Column
 ) -> DataFrame:
     """Aggregates per key and window of an event-time column; the same for batch and stream."""
-    grouped = df.groupBy(F.window(F.col(time), size).alias("w"), *keys).agg(*aggregates)
-    rest = [c for c in grouped.columns if c != "w"]
+    grouped = df.groupBy(F.window(F.col(time), size).alias("__w"), *keys).agg(*aggregates)
+    rest = [c for c in grouped.columns if c != "__w"]
     return grouped.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *rest
+        F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *rest
     )
 
 

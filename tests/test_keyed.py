@@ -96,8 +96,7 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     t = KeyedTable.create(spark, str(tmp_path / "t"), T.StructType.fromDDL("id int, v int"), spec)
     t.insert(spark.range(100).selectExpr("cast(id as int) id", "1 v"), "c1")
     t.upsert(spark.createDataFrame([(5, 2)], "id int, v int"), "c2")
-    assert len(commits.children(spark, t.log, "c1", "bucket")) == 8
-    assert len(commits.children(spark, t.log, "c2", "bucket")) == 1
+    assert [c for c, _ in commits.children(spark, t.log, "bucket")] == ["c1"] * 8 + ["c2"]
     assert t.snapshot().agg(F.count("*"), F.sum("v")).first()[:] == (100, 101)
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def word_tokens(text: Column) -> Column:
-    """Lower-cased runs of word characters."""
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda w: w != "")
+    """Lower-cased text between runs of non-word characters."""
+    return F.split(F.lower(text), r"\W+")
 
 
 def space_tokens(text: Column) -> Column:
@@ -26,8 +26,10 @@ TOKENS = {"word": word_tokens, "space": space_tokens}
 
 
 def words(df: DataFrame, text: str = "value", split: str = "word") -> DataFrame:
-    """One row per token."""
-    return df.select(F.explode(TOKENS[split](F.col(text))).alias("word"))
+    """One row per token. Empty tokens next to non-word characters are dropped as rows, which
+    stays in generated code where filtering the arrays would not."""
+    tokens = df.select(F.explode(TOKENS[split](F.col(text))).alias("word"))
+    return tokens.where("word <> ''") if split == "word" else tokens
 
 
 def word_count(df: DataFrame, text: str = "value", split: str = "word") -> DataFrame:

@@ -82,7 +82,7 @@ def ddl_create_keyed(spark: SparkSession, sf: str) -> DataFrame:
         spark, path, orders.schema,
         TableSpec(("o_orderkey",), ("o_custkey",), ("o_orderstatus",)),
     )
-    KeyedTable.open(spark, path).insert(orders.hint("rebalance", "o_orderstatus"), "c1")
+    KeyedTable.open(spark, path).insert(orders, "c1")
     return KeyedTable.open(spark, path).snapshot().select(*orders.columns)
 
 

@@ -132,11 +132,12 @@ def envelopes(df: DataFrame, before_value: Column | None = None) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return envelopes(feed(spark, sf))
+    """The landed feed."""
+    return read_feed(spark, landed(spark, sf))
 
 
 def log(spark: SparkSession, sf: str) -> DataFrame:
-    """The feed as flat log rows, by way of its JSON."""
+    """The feed as flat log rows."""
     return decode(lines(spark, sf))
 
 
@@ -182,7 +183,7 @@ def landed(spark: SparkSession, sf: str) -> str:
     """Folder of the feed's JSON files, written once per session."""
     path, todo = once(spark, sf, "landed")
     if todo:
-        land_text(lines(spark, sf), path)
+        land_text(envelopes(feed(spark, sf)), path)
         written(spark, sf, "landed", path)
     return path
 

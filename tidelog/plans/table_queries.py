@@ -87,5 +87,5 @@ def app_hive_partitions(spark: SparkSession, sf: str) -> DataFrame:
         TableSpec(("id",), FEED_ORDER, partition_by=("hh",)),
     )
     hour = F.substring(F.col("ts").cast("string"), 12, 2)
-    t.upsert(feed(spark, sf).withColumn("hh", hour).hint("rebalance", "hh"), "c1")
+    t.upsert(feed(spark, sf).withColumn("hh", hour), "c1")
     return t.snapshot().select("id", "hh", "data")

@@ -18,6 +18,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# On a cluster the state of streaming aggregates lives on executor disks, not on the heap.
+CLUSTER_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 
 def build(app: str = "tidelog", cores: str | int = "*", **conf: str) -> SparkSession:
     """A local session for tests and measurements; on a cluster use the one given."""
@@ -34,7 +40,8 @@ def build(app: str = "tidelog", cores: str | int = "*", **conf: str) -> SparkSes
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
+    wanted = RUNTIME_CONF if is_local(spark) else {**RUNTIME_CONF, **CLUSTER_CONF}
+    for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

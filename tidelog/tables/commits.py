@@ -40,6 +40,16 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of its own."""
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
 def is_complete(spark: SparkSession, root: str, commit: str, label: str = "commit_time") -> bool:
     fs, p = _path(spark, f"{root}/{label}={commit}/{SUCCESS}")
     return fs.exists(p)
@@ -51,10 +61,12 @@ def complete(spark: SparkSession, root: str, label: str = "commit_time") -> list
     return sorted(m.getParent().getName().split("=", 1)[1] for m in marks)
 
 
-def children(spark: SparkSession, root: str, commit: str, column: str) -> list[str]:
-    """Values of a partition column found inside one commit."""
-    found = _glob(spark, f"{root}/commit_time={commit}/{column}=*")
-    return [p.getName().split("=", 1)[1] for p in found]
+def children(spark: SparkSession, root: str, column: str) -> list[tuple[str, str]]:
+    """(commit, value) for the values of a partition column in each commit, oldest first."""
+    found = _glob(spark, f"{root}/commit_time=*/{column}=*")
+    return sorted(
+        (p.getParent().getName().split("=", 1)[1], p.getName().split("=", 1)[1]) for p in found
+    )
 
 
 def write(

@@ -69,9 +69,7 @@ class KeyedTable:
         if len(set(schema.names)) != len(schema.names):
             raise ValueError("a column is declared twice")
         text = json.dumps({"schema": json.loads(schema.json()), "spec": spec.to_dict()})
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(f"{path}/spec")
+        commits.write_text(spark, f"{path}/spec/table.json", text)
         commits.make_dir(spark, f"{path}/log")
         return KeyedTable._of(spark, path, schema, spec)
 
@@ -200,6 +198,9 @@ class MergeOnRead(KeyedTable):
     """
 
     def _write(self, rows: DataFrame, commit: str) -> None:
+        if self.spec.partition_by:
+            # A few even files per partition, also for one that dominates the commit.
+            rows = rows.hint("rebalance", *self.spec.partition_by)
         commits.write(rows, self.log, commit, self.spec.partition_by)
 
     def load_history(self, df: DataFrame, commit: str) -> None:
@@ -317,12 +318,9 @@ class CopyOnWrite(KeyedTable):
 
     def _buckets(self, upto: str | None, before: str | None = None) -> dict[str, str]:
         """Newest commit of every bucket: at most one entry per bucket."""
-        newest: dict[str, str] = {}
-        for c in self._between("log", "", upto):
-            if before is None or c < before:
-                for b in commits.children(self.spark, self.log, c, "bucket"):
-                    newest[b] = c
-        return newest
+        done = {c for c in self._between("log", "", upto) if before is None or c < before}
+        found = commits.children(self.spark, self.log, "bucket")
+        return {b: c for c, b in found if c in done}
 
     def _read(self, versions: Mapping[str, str]) -> DataFrame:
         schema = (
@@ -366,7 +364,12 @@ class CopyOnWrite(KeyedTable):
             both = old.unionByName(incoming).repartition(tasks, "bucket")
             return latest_per_key(both, ["bucket", *spec.keys], [*spec.order_by, COMMIT])
 
-        self._rewrite(incoming, merge, commit)
+        # Used twice: for the buckets it touches and for the merge.
+        incoming.persist()
+        try:
+            self._rewrite(incoming, merge, commit)
+        finally:
+            incoming.unpersist()
 
     def delete_keys(self, keys: DataFrame, commit: str | None = None) -> str:
         """Delete rows by key alone; a key the table does not have is no error."""

@@ -15,9 +15,11 @@ TESTDATA = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
     s = session.build(
-        "tidelog-tests", 4,
+        "tidelog-tests", 8,
         **{
             "spark.sql.shuffle.partitions": "4",
+            # Many short queries: quick compilation beats optimised code.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.sql.warehouse.dir": str(warehouse),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

@@ -57,6 +57,8 @@ def test_many_batches_equal_the_full_join(spark, join):
     dims = [(f, f"n{i}", s, op) for i, k, f, s, op in events if not i % 3]
     for b in range(4):
         got = apply(spark, join, f"c{b}", facts[b::4], dims[b::4])
+        if b == 1:
+            join.compact()
 
     def state(data):
         last = {}

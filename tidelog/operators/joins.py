@@ -81,23 +81,43 @@ class ChangelogLeftJoin:
             changed, links[self.foreign_key].cast("string") == F.col("__fk"), "left_semi"
         ).select(*self.keys)
         touched = left_changes.select(*self.keys).unionByName(through).distinct()
-        lefts = self.left.as_of(commit).join(touched, self.keys, "left_semi")
-        rights = self.right.as_of(commit).select(
-            F.col(self.right_key).cast("string").alias("__rk"),
-            F.struct(*self.right_columns).alias("__r"),
+        # Semi joins first: touched keys and the foreign keys they need are few, so they are
+        # sent to the tables instead of shuffling the tables to them.
+        live = (
+            self.left.as_of(commit)
+            .join(touched, self.keys, "left_semi")
+            .withColumn("__live", F.lit(True))
         )
-        joined = lefts.join(
-            rights, F.col(self.foreign_key).cast("string") == F.col("__rk"), "left"
+        # A touched key without a left row is gone from the result too.
+        current = touched.join(live, self.keys, "left").withColumn(
+            "__rk", F.col(self.foreign_key).cast("string")
         )
-        plain = [c for c in self.result.columns if c not in self.right_columns]
-        rows = joined.select(
-            *plain, *[F.col("__r").getField(c).alias(c) for c in self.right_columns],
-            F.lit("u").alias("op"),
-        )
-        gone = touched.join(
-            self.left.as_of(commit).select(*self.keys), self.keys, "left_anti"
-        ).withColumn("op", F.lit("d"))
-        self.result.upsert(rows.unionByName(gone, allowMissingColumns=True), commit)
+        current.persist()
+        try:
+            needed = current.select("__rk").where("__rk is not null").distinct()
+            rights = (
+                self.right.as_of(commit)
+                .select(
+                    F.col(self.right_key).cast("string").alias("__rk"),
+                    F.struct(*self.right_columns).alias("__r"),
+                )
+                .join(needed, ["__rk"], "left_semi")
+            )
+            # A foreign key shared by much of the batch is split by the adaptive skew join.
+            joined = current.join(rights, ["__rk"], "left")
+            plain = [c for c in self.result.columns if c not in self.right_columns]
+            rows = joined.select(
+                *plain, *[F.col("__r").getField(c).alias(c) for c in self.right_columns],
+                F.when(F.col("__live"), "u").otherwise("d").alias("op"),
+            )
+            self.result.upsert(rows, commit)
+        finally:
+            current.unpersist()
+
+    def compact(self) -> None:
+        """Fold the logs of all four tables, so that later batches rank only newer changes."""
+        for t in (self.left, self.right, self.links, self.result):
+            t.compact()
 
     def current(self) -> DataFrame:
         return self.result.snapshot().drop("commit_time")

@@ -207,3 +207,22 @@ def test_running_query_commits_per_interval(spark, tmp_path, landed):
     finally:
         q.stop()
     assert rows(t.snapshot(), "id", "name") == expected(spark, landed)
+
+
+def test_jobs(spark, tmp_path, landed, monkeypatch):
+    monkeypatch.setitem(schemas.REGISTRY, "ods_test_student", (SHAPE, ("id",)))
+    from tidelog import jobs
+
+    common = ["--log", str(tmp_path / "log"), "--files-per-trigger", "2"]
+    land = jobs.arguments(["land", "--feed", landed, "--tables", r"test\.stud.*",
+                           "--checkpoint", str(tmp_path / "cp1"), *common])
+    apply.finish(jobs.start(spark, land))
+    one = jobs.arguments(["apply", "-d", "test", "-t", "student", "--root", str(tmp_path / "ods"),
+                          "--checkpoint", str(tmp_path / "cp2"), *common])
+    apply.finish(jobs.start(spark, one))
+    t = KeyedTable.open(spark, str(tmp_path / "ods" / "ods_test_student"))
+    events = feed.select_table(feed.decode(feed.read_feed(spark, landed)), "test", "student")
+    want = rows(feed.changelog_table(events, SHAPE, ["id"]))
+    assert rows(t.snapshot(), "id", "name") == want
+    with pytest.raises(SystemExit):
+        jobs.arguments(["apply", "-d", "test"])

@@ -12,6 +12,7 @@ from tidelog.tables.keyed import KeyedTable
 
 SCHEMA = schema_of(id=INT, name=STRING, price=INT, flag=STRING, update_date=STRING)
 
+# The commits of the sample timeline.
 C1 = [(1, "aaa", 55, "I"), (2, "bbb", 55, "I"), (3, "ccc", 55, "I")]
 C2 = [(2, "bbb", 99, "U"), (4, "ddd", 100, "I"), (9, "zzz", -99, "D")]
 
@@ -91,6 +92,28 @@ def test_unfinished_commit_is_not_read(spark, table):
     assert prices(table.snapshot()) == {1: 55, 2: 99, 3: 55, 4: 100}
 
 
+@pytest.mark.parametrize("kind", ["mor", "cow"])
+def test_patch_keeps_what_a_change_leaves_out(spark, tmp_path, kind):
+    shape = schema_of(id=INT, a=INT, b=STRING, ts=INT)
+    spec = TableSpec(("id",), ("ts",), kind=kind, buckets=2)
+    t = KeyedTable.create(spark, str(tmp_path / "p"), shape, spec)
+    given = "id int, a int, b string, ts int, op string"
+    t.insert(spark.createDataFrame([(1, 1, "x", 1), (2, 2, "y", 1), (3, 3, "z", 1)], shape), "c1")
+    t.patch(spark.createDataFrame(
+        [(1, None, "X", 2, "u"), (1, 11, None, 3, "u"), (2, None, None, 2, "d"),
+         (3, None, None, 2, "d"), (3, 30, None, 3, "c"), (4, 4, None, 1, "c")], given), "c2")
+    got = rows(t.snapshot(), "id", "a", "b", "ts")
+    assert got == [(1, 11, "X", 3), (3, 30, None, 3), (4, 4, None, 1)]
+    # A late change older than the row only fills what is null; a partial frame may lack columns.
+    t.patch(spark.createDataFrame([(1, 5, "old", 0, "u"), (4, 5, "w", 0, "u")], given), "c3")
+    t.patch(spark.createDataFrame([(3, 9)], "id int, ts int"), "c4")
+    got = rows(t.snapshot(), "id", "a", "b", "ts")
+    assert got == [(1, 11, "X", 3), (3, 30, None, 9), (4, 4, "w", 1)]
+    # An older change of a deleted key does not bring it back.
+    t.patch(spark.createDataFrame([(2, 7, "back", 1, "u")], given), "c5")
+    assert 2 not in [r["id"] for r in t.snapshot().collect()]
+
+
 def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     spec = TableSpec(("id",), (), kind="cow", buckets=8)
     t = KeyedTable.create(spark, str(tmp_path / "t"), T.StructType.fromDDL("id int, v int"), spec)

@@ -1,7 +1,8 @@
 """Jobs to submit: land a feed in the log, apply a table's events to its target.
 
-    spark-submit -m tidelog.jobs land --feed DIR --log DIR --checkpoint DIR
-    spark-submit -m tidelog.jobs apply -d DB -t TABLE --log DIR --root DIR --checkpoint DIR
+    spark-submit --py-files tidelog.zip tidelog/jobs.py land --feed DIR --log DIR --checkpoint DIR
+    spark-submit --py-files tidelog.zip tidelog/jobs.py apply -d DB -t TABLE --log DIR \
+        --root DIR --checkpoint DIR
 """
 
 from __future__ import annotations

@@ -47,6 +47,18 @@ def partial_state(
     A delete forgets the values before it. Each column is one `max_by` over the events that
     say something about it (a value, or a delete), so everything combines before the shuffle.
     """
+    folded = fold_partial(feed, keys, order, columns, op)
+    return folded.where(F.col(op) != "d").select(*keys, *columns)
+
+
+def fold_partial(
+    feed: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str],
+    op: str = "op",
+) -> DataFrame:
+    """The same with deleted keys kept, and with the last `op` and order of each key."""
     deleted = F.col(op) == "d"
     rank = F.struct(*order)
 
@@ -57,9 +69,11 @@ def partial_state(
 
     return (
         feed.groupBy(*keys)
-        .agg(F.max_by(op, rank).alias("__op"), *[last_value(c) for c in columns])
-        .where("__op <> 'd'")
-        .drop("__op")
+        .agg(
+            F.max_by(op, rank).alias(op), F.max(rank).alias("__rank"),
+            *[last_value(c) for c in columns],
+        )
+        .select(*keys, *columns, op, "__rank.*")
     )
 
 

@@ -39,8 +39,19 @@ def build(app: str = "tidelog", cores: str | int = "*", **conf: str) -> SparkSes
     return configure(builder.getOrCreate())
 
 
+# Shuffles of batch queries start with this many partitions and adaptive execution merges the
+# small ones. Streaming state keeps `spark.sql.shuffle.partitions`, which this leaves alone.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    wanted = RUNTIME_CONF if is_local(spark) else {**RUNTIME_CONF, **CLUSTER_CONF}
+    wanted = dict(RUNTIME_CONF)
+    if not is_local(spark):
+        wanted.update(CLUSTER_CONF)
+        if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+            cores = spark.sparkContext.defaultParallelism
+            least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            wanted[INITIAL_PARTITIONS] = str(max(least, 4 * cores))
     for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators.changes import latest_per_key
+from tidelog.operators.changes import fold_partial, latest_per_key
 from tidelog.schemas import TableSpec
 from tidelog.tables import commits
 
@@ -118,6 +118,30 @@ class KeyedTable:
         self._write(self._rows(df, "u"), commit)
         return commit
 
+    def patch(self, df: DataFrame, commit: str | None = None) -> str:
+        """Apply changes in which a null or missing column keeps the value the row has.
+
+        Only the rows of the changed keys are read back; they take part as the oldest change of
+        equal order.
+        """
+        commit = commit or commits.clock_commit()
+        spec = self.spec
+        keys = list(spec.keys)
+        absent = [f for f in self.schema if f.name not in df.columns]
+        df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
+        changes = self._rows(df, "u").withColumn("__new", F.lit(1))
+        held = (
+            self.as_of(self.last_commit())
+            .join(changes.select(*keys).distinct(), keys, "left_semi")
+            .select(*self.columns, F.lit("u").alias("op"), F.lit(0).alias("__new"))
+        )
+        values = [c for c in self.columns if c not in (*keys, *spec.order_by)]
+        folded = fold_partial(
+            held.unionByName(changes), keys, [*spec.order_by, "__new"], values
+        )
+        self._write(self._rows(folded, "u"), commit)
+        return commit
+
     def update_where(
         self, cond: Column | str, values: Mapping[str, Column], commit: str | None = None
     ) -> str:

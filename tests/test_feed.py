@@ -141,7 +141,8 @@ def test_table_filter_matches_whole_names(spark):
 def test_sql_text(spark):
     shape = schemas.schema(id=schemas.INT, name=schemas.STRING, sex=schemas.STRING,
                            create_time=schemas.TIMESTAMP)
-    image = '{"birthday":null,"create_time":"2022-03-07T16:47:13Z","sex":null,"name":"it\'s","id":-1}'
+    image = json.dumps({"birthday": None, "create_time": "2022-03-07T16:47:13Z", "sex": None,
+                        "name": "it's", "id": -1})
     df = spark.createDataFrame([(image, '{"id":-1}')], "after string, key string")
     after, key = F.col("after"), F.col("key")
     got = df.select(

@@ -17,8 +17,9 @@ RECORD = "key string, value string, partition int, offset long, timestamp timest
 def test_kafka(spark):
     at = "2024-01-01 00:00:0"
     df = spark.createDataFrame(
-        [("1", "1,2,buy", 0, 0, at + "1"), ("1", None, 0, 1, at + "2"), ("2", "2,3,x", 0, 2, at + "3"),
-         ("2", "2,4,y", 0, 3, at + "3"), ("3", "bad", 1, 0, at + "4")],
+        [("1", "1,2,buy", 0, 0, at + "1"), ("1", None, 0, 1, at + "2"),
+         ("2", "2,3,x", 0, 2, at + "3"), ("2", "2,4,y", 0, 3, at + "3"),
+         ("3", "bad", 1, 0, at + "4")],
         RECORD.replace("timestamp timestamp", "timestamp string"),
     ).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     assert rows(kafka.upsert_state(df), "key", "value") == [("2", "2,4,y"), ("3", "bad")]

@@ -143,7 +143,7 @@ def previous(
         .where("__slice is not null")
         .withColumn("__real", F.lit(0))
     )
-    w = Window.partitionBy("__slice", *keys).orderBy("__real", *order)
+    w = Window.partitionBy(*keys, "__slice").orderBy("__real", *order)
     return (
         rows.unionByName(carry, allowMissingColumns=True)
         .withColumn("__prev", F.lag("__held").over(w))
@@ -209,7 +209,7 @@ def asof_left_join(
         .select(*on, "__slice", "__held", F.lit(0).alias("__kind"))
     )
     w = (
-        Window.partitionBy("__slice", *on)
+        Window.partitionBy(*on, "__slice")
         .orderBy(F.col("__x").asc_nulls_first(), "__kind", F.col("__tie").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.plans.inputs import drain, feed, feed_sql, feed_stream, ntz, env_sql, table
+from tidelog.plans.inputs import drain, env_sql, feed, feed_stream, ntz, table
 from tidelog.plans.registry import query
-from tidelog.schemas import LONG, STRING, DOUBLE, TableSpec, schema
+from tidelog.schemas import DOUBLE, LONG, STRING, TableSpec, schema
 from tidelog.session import scratch
 from tidelog.tables import catalog
 from tidelog.tables.keyed import KeyedTable

@@ -85,7 +85,7 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
         kind.alias("data"),
         "props",
         "ts",
-        F.substring(F.col("ts").cast("string"), 1, 10).alias("dt"),
+        F.col("ts").cast("date").cast("string").alias("dt"),
         F.when(kind == "view", "r").when(kind == "signup", "c").when(kind == "error", "d")
         .otherwise("u").alias("op"),
     )
@@ -154,7 +154,7 @@ _written: dict[tuple[str, str, str], str] = {}
 def once(spark: SparkSession, sf: str, label: str) -> tuple[str, bool]:
     """A folder for an input several queries share, and whether it is still to be written."""
     key = (spark.sparkContext.applicationId, sf, label)
-    if key in _written:
+    if key in _written and commits.exists(spark, _written[key]):
         return _written[key], False
     return scratch(spark, label), True
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.clock import is_today, now
 from tidelog.operators.changes import current_state
-from tidelog.operators.joins import ChangelogLeftJoin, left_join_cast, stream_lookup, temporal_lookup
+from tidelog.operators.joins import (
+    ChangelogLeftJoin, left_join_cast, stream_lookup, temporal_lookup,
+)
 from tidelog.operators.ordered import position_in_group, running_sum, with_position
 from tidelog.operators.words import word_count
 from tidelog.plans.inputs import (

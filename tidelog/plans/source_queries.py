@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.words import word_count
 from tidelog.plans.inputs import (
-    IMAGE, drain, env_sql, feed, feed_stream, feed_sql, land_text, landing_files, log, ntz,
-    per_trigger, state_sql, table,
+    IMAGE, env_sql, feed, feed_sql, feed_stream, land_text, log, ntz, per_trigger, state_sql,
+    table,
 )
 from tidelog.plans.registry import query
 from tidelog.schemas import LONG, STRING, TableSpec, schema

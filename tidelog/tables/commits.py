@@ -40,6 +40,11 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file of its own."""
     fs, p = _path(spark, path)
@@ -51,8 +56,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def is_complete(spark: SparkSession, root: str, commit: str, label: str = "commit_time") -> bool:
-    fs, p = _path(spark, f"{root}/{label}={commit}/{SUCCESS}")
-    return fs.exists(p)
+    return exists(spark, f"{root}/{label}={commit}/{SUCCESS}")
 
 
 def complete(spark: SparkSession, root: str, label: str = "commit_time") -> list[str]:

@@ -272,6 +272,9 @@ class MergeOnRead(KeyedTable):
     def _state(self, instant: str | None) -> DataFrame:
         spec = self.spec
         upto, base = self._base(instant)
+        kinds = ("log", "deletes")
+        if base is not None and not any(self._between(k, upto, instant) for k in kinds):
+            return base
         rows, deletes = self._changes(upto, instant)
         if base is None:
             return resolve(rows, spec.keys, spec.order_by, deletes)

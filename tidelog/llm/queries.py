@@ -110,11 +110,11 @@ common as (
 links as (
     select x, y from common join n p on p.doc_id = x join n q on q.doc_id = y
     where 100 * c >= 80 * (p.n + q.n - c)),
-both as (select x, y from links union select y, x from links),
+edges as (select x, y from links union select y, x from links),
 reach as (
     select doc_id as x, doc_id as y from d
     union
-    select reach.x, both.y from reach join both on reach.y = both.x)
+    select reach.x, edges.y from reach join edges on reach.y = edges.x)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id, d.doc_id = m.component_id as kept
 from d left join n on d.doc_id = n.doc_id
 join (select x, min(y) as component_id from reach group by x) m on m.x = d.doc_id

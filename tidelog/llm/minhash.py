@@ -7,10 +7,11 @@ coordinates - matches + 1, so only each signature's rarest elements are kept as
 
 Listing all pairs of a posting list would square the size of its groups. Instead every list names
 one member, the others are compared with it, and confirmed links merge their groups; lists whose
-members are all in one group are skipped from then on. When this no longer pays, the pairs that
-are left, those between different groups of one list, are compared one by one. A comparison
-counts equal coordinates first and then compares the full sets. At a similarity of 0.8 and the
-default numbers a linked pair is missed with a probability of about 1e-6.
+members are all in one group are skipped from then on. After two such turns, groups that still
+share lists are compared in tiles: the members of all but the largest group ask, all members
+answer. A comparison counts equal coordinates first and then common shingles of the full sets. At
+a similarity of 0.8 and the default numbers a linked pair is missed with a probability of about
+1e-6.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,6 +33,8 @@ _seeds = np.random.Generator(np.random.PCG64(20240501))
 FACTORS = _seeds.integers(0, 2**64, COORDINATES, np.uint64, endpoint=False) | np.uint64(1)
 TERMS = _seeds.integers(0, 2**64, COORDINATES, np.uint64, endpoint=False)
 STEP = 4096  # shingles that are hashed at once
+TURNS = 2  # rounds in which a list's members are compared with one of them
+TILE, TILE_BYTES = 1000, 24 << 20  # sets on a side of a tile, and about their bytes
 
 
 def shingle_set(body: bytes, words: int) -> np.ndarray:
@@ -173,34 +177,93 @@ def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
 def grouped(listed: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
     """(r, g): the group of each class that has postings."""
     groups = stored(listed.select("r").distinct().select("r", F.col("r").alias("g")), "groups")
-    total, before, turn = listed.count(), None, 0
-    while True:
+    for turn in range(TURNS + 1):
         posts = stored(listed.join(groups, "r"), "grouped-postings")
-        shares = posts.groupBy("e", "g").agg(F.count("*").alias("c")).groupBy("e").agg(
-            F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("groups"))
-        live = stored(shares.where("groups > 1"), "live-lists")
-        left = live.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0] or 0
-        if left == 0:
-            return groups
-        posts = stored(posts.join(live.select("e"), "e"), "live-postings")
-        last = left <= total or (before is not None and turn > 1 and left > before / 2)
-        if last:
-            other = posts.select("e", *[F.col(c).alias(f"{c}2") for c in ("r", "n", "g")])
-            pairs = posts.join(other, "e").where("r < r2")
-        else:
-            rank = F.xxhash64("r", F.lit(turn)) if turn == 0 else F.xxhash64("r", "e", F.lit(turn))
-            head = posts.groupBy("e").agg(F.min(F.struct(rank.alias("rank"), "r", "n", "g")).alias("p"))
-            head = stored(head.select("e", F.col("p.r").alias("r2"), F.col("p.n").alias("n2"),
-                                      F.col("p.g").alias("g2")), "heads")
-            pairs = posts.join(head, "e").where("r <> r2")
-        # Sizes alone rule out a pair whose smaller set is less than the share of the larger.
-        pairs = pairs.where(f"g <> g2 and 100 * least(n, n2) >= {percent} * greatest(n, n2)").select(
-            F.least("r", "r2").alias("a"), F.greatest("r", "r2").alias("z")).distinct()
-        links = stored(confirmed(pairs, sets, matches, percent), "links")
-        groups = merged(groups, links)
-        if last:
+        rank = F.xxhash64("r", F.lit(turn)) if turn == 0 else F.xxhash64("r", "e", F.lit(turn))
+        shares = posts.groupBy("e", "g").agg(
+            F.count("*").alias("c"), F.min(F.struct(rank.alias("rank"), "r", "n")).alias("p"))
+        # From the second turn on a list's largest group speaks for it, so that the few members of
+        # other groups are compared and not the many.
+        size = F.lit(0) if turn == 0 else -F.col("c")
+        heads = shares.groupBy("e").agg(
+            F.count("*").alias("groups"),
+            F.min(F.struct(size.alias("size"), "p.rank", "p.r", "p.n", "g")).alias("p"))
+        live = stored(heads.where("groups > 1").select(
+            "e", F.col("p.r").alias("r2"), F.col("p.n").alias("n2"), F.col("p.g").alias("g2")), "heads")
+        if live.isEmpty():
             return groups
-        before, turn = left, turn + 1
+        across = posts.join(live, "e").where("g <> g2")
+        named = [F.least("r", "r2").alias("a"), F.greatest("r", "r2").alias("z")]
+        if turn == TURNS:
+            links = rest(groups, across.select(*named).distinct(), listed, sets, matches, percent)
+        else:  # sizes alone rule out a pair whose smaller set is less than the share of the larger
+            pairs = across.where(f"100 * least(n, n2) >= {percent} * greatest(n, n2)").select(*named).distinct()
+            links = confirmed(pairs, sets, matches, percent)
+        groups = merged(groups, stored(links, "links"))
+    return groups
+
+
+def rest(groups: DataFrame, together: DataFrame, listed: DataFrame, sets: DataFrame, matches: int,
+         percent: int) -> DataFrame:
+    """Links (a, z) between the groups whose members still share a list.
+
+    Groups that lists hold together form a neighbourhood. All its members but those of its largest
+    group are compared with all of other groups, in tiles of a bounded number of sets.
+    """
+    near = merged(groups, together).select("r", F.col("g").alias("near"))
+    sizes = listed.select("r", "n").distinct()
+    member = stored(groups.join(near, "r").join(sizes, "r"), "members")
+    parts = member.groupBy("near", "g").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    whole = parts.groupBy("near").agg(
+        F.sum("c").alias("all"), F.sum("n").alias("n"), F.count("*").alias("groups"),
+        F.max(F.struct("c", "g")).alias("top")).where("groups > 1")
+    side = F.least(F.lit(TILE), F.greatest(F.lit(16), F.floor(F.lit(TILE_BYTES) * F.col("all") / (F.col("n") * 8 + 1))))
+    whole = stored(whole.select("near", F.col("top.g").alias("top"),
+                                F.ceil(F.col("all") / side).alias("rows"),
+                                F.ceil((F.col("all") - F.col("top.c")) / side).alias("cols")), "neighbourhoods")
+    put = member.join(whole, "near").withColumn("few", F.col("g") != F.col("top"))
+
+    def spread(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    targets = put.select("near", "r", "g", "few", F.lit(False).alias("asks"),
+                         F.pmod(F.xxhash64("r"), F.col("rows")).alias("i"), spread("cols").alias("j"))
+    asking = put.where("few").select("near", "r", "g", "few", F.lit(True).alias("asks"), spread("rows").alias("i"),
+                                     F.pmod(F.xxhash64("r", F.lit(1)), F.col("cols")).alias("j"))
+    tiles = targets.unionByName(asking).join(sets, "r")
+
+    def compare(tile: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        asks = tile["asks"].to_numpy()
+        rows, cols = tile[~asks], tile[asks]
+        if len(rows) and len(cols):
+            whose = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+            asked = [np.frombuffer(x, np.uint64) for x in cols["shingles"]]
+            size = np.array([len(x) for x in whose])
+            known, ids = np.unique(np.concatenate(whose), return_inverse=True)
+            ends = np.cumsum(size)
+            sig, g, r = np.stack(rows["sig"].to_list()), rows["g"].to_numpy(), rows["r"].to_numpy()
+            few = rows["few"].to_numpy()
+            mark = np.zeros(len(known) + 1, bool)
+            for s, x, y, own in zip(cols["sig"], cols["r"], cols["g"], asked):
+                near = (g != y) & ~(few & (r < x)) & (100 * np.minimum(size, len(own)) >= percent * np.maximum(size, len(own)))
+                near[near] = (sig[near] == np.asarray(s)).sum(axis=1) >= matches
+                at = np.flatnonzero(near)
+                if not len(at):
+                    continue
+                place = np.searchsorted(known, own)
+                place = place[known[np.minimum(place, len(known) - 1)] == own]
+                mark[place] = True
+                if 4 * len(at) > len(size):
+                    both = np.add.reduceat(mark[ids], ends - size, dtype=np.int64)[at]
+                else:
+                    both = np.array([mark[ids[ends[k] - size[k]:ends[k]]].sum() for k in at])
+                mark[place] = False
+                ok = 100 * both >= percent * (size[at] + len(own) - both)
+                found += [(min(x, z), max(x, z)) for z in r[at[ok]].tolist()]
+        return pd.DataFrame(found, columns=["a", "z"], dtype="int64")
+
+    return tiles.groupBy("near", "i", "j").applyInPandas(compare, "a long, z long")
 
 
 def components(docs: DataFrame, id: str, text: str, words: int, percent: int,

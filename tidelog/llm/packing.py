@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import batch, stored, utf8
-from tidelog.llm.tokens import encoded
+from tidelog.llm.tokens import encoded, forget
 
 CHUNK = 5000  # pieces of a length that one task ranks, about
 
@@ -205,6 +205,7 @@ def pieces_of(docs: DataFrame, id: str, text: str, tokenizer: str, kind: str | N
             columns = list(zip(*rows)) if rows else [[]] * (len(types) - 1)
             yield batch({"id": b.column(0).take(pa.array(at, pa.int64())),
                          **dict(zip(list(types)[1:], columns))}, types)
+        forget()
 
     kind_sql = docs.schema[id].dataType.simpleString()
     return docs.select(F.col(id).alias("id"), utf8(text).alias("b")).mapInArrow(

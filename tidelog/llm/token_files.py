@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import MULTIPLY, SCRAMBLE, batch, utf8
-from tidelog.llm.tokens import encoded
+from tidelog.llm.tokens import encoded, forget
 
 SHARD_IDS = 4_000_000  # ids of a shard, after which the next one begins
 PART_BYTES = 32 << 20  # text of a range partition, about
@@ -184,6 +184,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id",
                 names.append(b.column(0).slice(begun))
         if held:
             yield shard()
+        forget()
 
     parts.select("id", "tie", "key", "b").mapInArrow(
         shards, f"{ROW_SQL}, ids array<{kind_sql}>").write.parquet(path)

@@ -27,7 +27,7 @@ _PARTS = {
                         r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall,
 }
 _BETWEEN = {"words": " \x01 ", "bytes": "\n"}
-MOST_CACHED = 600_000  # parts a worker keeps; then it starts anew
+MOST_CACHED = 400_000  # parts a worker keeps; then it starts anew
 _loaded: dict[str, Encoder] = {}
 
 
@@ -113,3 +113,9 @@ def encoded(bodies, path: str, kind: str | None, most: int = 1 << 20):
             held, size = [], 0
     if held:
         yield from tool.encode(held)
+
+
+def forget() -> None:
+    """Give back the memory of the cached parts; a worker outlives its task."""
+    for tool in _loaded.values():
+        tool.cache.clear()

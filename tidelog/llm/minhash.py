@@ -1,17 +1,17 @@
 """Near-duplicates by MinHash signatures, joined through an inverted index of coordinates.
 
 Texts with equal shingle sets form one class at once; all that follows works on classes. A class
-is posted under each (coordinate, value) of its signature. Two sets that agree in at least
-`matches` of `coordinates` coordinates share an element of every prefix of
-coordinates - matches + 1, so only each signature's rarest elements are kept as postings.
+is posted under coordinates of its signature with their values, three coordinates to a posting: a
+single value is shared by most texts that hold one common shingle, and lists by it would tie
+together what has nothing in common. Classes that agree in a posting are candidates; of those,
+pairs that agree in at least `matches` of all coordinates are compared by their full sets.
 
 Listing all pairs of a posting list would square the size of its groups. Instead every list names
 one member, the others are compared with it, and confirmed links merge their groups; lists whose
 members are all in one group are skipped from then on. After two such turns, groups that still
 share lists are compared in tiles: the members of all but the largest group ask, all members
-answer. A comparison counts equal coordinates first and then common shingles of the full sets. At
-a similarity of 0.8 and the default numbers a linked pair is missed with a probability of about
-1e-6.
+answer. At a similarity of 0.8 two classes share no posting with a probability of 3e-7 and fall
+short of the matches with one of 1e-7.
 """
 
 from __future__ import annotations
@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import batch, flat, joined, stored, utf8
 
-COORDINATES = 48
-MATCHES = 22
+COORDINATES = 63
+POSTED = 3  # coordinates of a posting
+MATCHES = 30
 _seeds = np.random.Generator(np.random.PCG64(20240501))
 FACTORS = _seeds.integers(0, 2**64, COORDINATES, np.uint64, endpoint=False) | np.uint64(1)
 TERMS = _seeds.integers(0, 2**64, COORDINATES, np.uint64, endpoint=False)
 STEP = 4096  # shingles that are hashed at once
 TURNS = 2  # rounds in which a list's members are compared with one of them
+FEW = 500_000  # rows of numbers that may be broadcast
 TILE, TILE_BYTES = 1000, 24 << 20  # sets on a side of a tile, and about their bytes
 
 
@@ -93,20 +95,15 @@ def signed(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
         sign, f"k1 long, k2 long, id {kind}, n long, c binary, sig array<int>")
 
 
-def postings(classes: DataFrame, matches: int) -> DataFrame:
-    """(e, r, n): each class under the elements of its prefix that other classes share."""
-    elements = classes.select("r", "n", F.posexplode("sig").alias("at", "v")).select(
-        "r", "n", (F.col("at").cast("long") * 4294967296 + F.col("v")).alias("e"))
-    shared = stored(elements.groupBy("e").agg(F.count("*").alias("f")).where("f > 1"), "shared-values")
-    # Elements nobody shares are the rarest: they take up places of the prefix without postings.
-    places = COORDINATES - matches + 1
-    own = F.sort_array(F.collect_list(F.struct("f", "e")))
-    prefix = elements.join(shared, "e").groupBy("r", "n").agg(own.alias("own")).select(
-        "r", "n", "own", (F.size("own") - (COORDINATES - places)).alias("left")).where("left > 0")
-    listed = stored(prefix.select("r", "n", F.explode(F.slice("own", F.lit(1), F.col("left"))).alias("p"))
-                    .select(F.col("p.e").alias("e"), "r", "n"), "prefixes")
-    several = listed.groupBy("e").agg(F.count("*").alias("f")).where("f > 1").select("e")
-    return stored(listed.join(stored(several, "lists"), "e"), "postings")
+def postings(classes: DataFrame) -> DataFrame:
+    """(e, r, n): each class under the postings that other classes share."""
+    def posting(i):
+        return F.xxhash64(i, *[F.get("sig", i * POSTED + k) for k in range(POSTED)])
+
+    numbers = F.sequence(F.lit(0), F.lit(COORDINATES // POSTED - 1))
+    elements = classes.select("r", "n", F.explode(F.transform(numbers, posting)).alias("e"))
+    shared = stored(elements.groupBy("e").agg(F.count("*").alias("f")).where("f > 1").select("e"), "shared-values")
+    return stored(elements.join(shared, "e").select("e", "r", "n"), "postings")
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, listed: DataFrame, id: str, text: str,
@@ -123,9 +120,8 @@ def full_sets(docs: DataFrame, classes: DataFrame, listed: DataFrame, id: str, t
 
     wanted = classes.join(listed.select("r").distinct(), "r", "left_semi").select("r", "sig", "at.*")
     texts = docs.select(*keyed(docs, id, text), utf8(text).alias("b"))
-    found = texts.join(wanted, ["k1", "k2"]).select("r", "sig", "b")
-    made = found.mapInArrow(make, "r long, sig array<int>, shingles binary")
-    return stored(made.dropDuplicates(["r"]), "sets")  # equal rows of the table made equal sets
+    found = texts.join(wanted, ["k1", "k2"]).dropDuplicates(["k1", "k2"])  # equal rows of the table
+    return stored(found.select("r", "sig", "b").mapInArrow(make, "r long, sig array<int>, shingles binary"), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -135,23 +131,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) ->
     equal = F.aggregate(F.zip_with("sig_a", "sig_z", lambda x, y: (x == y).cast("int")),
                         F.lit(0), lambda s, x: s + x)
     close = stored(pairs.join(one, "a").join(two, "z").where(equal >= matches).select("a", "z"), "close")
-    full_a = sets.select(F.col("r").alias("a"), F.col("shingles").alias("set_a"))
-    full_z = sets.select(F.col("r").alias("z"), F.col("shingles").alias("set_z"))
+    asked = close.select("a", "z", F.explode(F.array("a", "z")).alias("r"))
 
     def compare(batches):
         for b in batches:
             kept = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
+            for pair in b.column(2):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in pair.values)
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 kept.append(100 * both >= percent * (len(x) + len(y) - both))
             mask = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)],
                                              names=["a", "z"])
 
-    return close.join(full_a, "a").join(full_z, "z").select("a", "z", "set_a", "set_z").mapInArrow(
-        compare, "a long, z long")
+    pair = with_sets(asked, sets.select("r", "shingles")).groupBy("a", "z").agg(
+        F.collect_list("shingles").alias("pair"))
+    return pair.mapInArrow(compare, "a long, z long")
+
+
+def with_sets(asked: DataFrame, sets: DataFrame) -> DataFrame:
+    """asked with the sets of its `r`. Few rows, by a count, go to where the sets are."""
+    asked = stored(asked, "asked")
+    if asked.count() <= FEW:
+        asked = F.broadcast(asked)
+    return sets.join(asked, "r")
 
 
 def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -230,7 +233,7 @@ def rest(groups: DataFrame, together: DataFrame, listed: DataFrame, sets: DataFr
                          F.pmod(F.xxhash64("r"), F.col("rows")).alias("i"), spread("cols").alias("j"))
     asking = put.where("few").select("near", "r", "g", "few", F.lit(True).alias("asks"), spread("rows").alias("i"),
                                      F.pmod(F.xxhash64("r", F.lit(1)), F.col("cols")).alias("j"))
-    tiles = targets.unionByName(asking).join(sets, "r")
+    tiles = with_sets(targets.unionByName(asking), sets)
 
     def compare(tile: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -275,7 +278,7 @@ def components(docs: DataFrame, id: str, text: str, words: int, percent: int,
         F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("k1"), F.col("k2"))).alias("first"),
         F.first("sig").alias("sig"))
     classes = stored(classes.withColumn("r", F.monotonically_increasing_id()), "classes")
-    listed = postings(classes, matches)
+    listed = postings(classes)
     sets = full_sets(docs, classes, listed, id, text, words)
     groups = grouped(listed, sets, matches, percent)
     member = classes.join(groups, "r", "left").select(

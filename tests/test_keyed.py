@@ -185,3 +185,30 @@ def test_spec_is_checked(spark, tmp_path):
         KeyedTable.create(spark, str(tmp_path / "x"), SCHEMA, TableSpec(("nope",)))
     with pytest.raises(ValueError):
         commits.write(frame(spark, C1), str(tmp_path / "y"), "a/b")
+
+
+def test_stream_and_batch_commits_grow(spark, tmp_path):
+    t = KeyedTable.create(spark, str(tmp_path / "g"), T.StructType.fromDDL("id int, v int"), TableSpec(("id",)))
+
+    def row(i, v):
+        return spark.createDataFrame([(i, v)], "id int, v int")
+
+    t.upsert(row(1, 1), t.stream_commit(row(1, 1), 0))
+    t.truncate()
+    t.upsert(row(2, 2), t.stream_commit(row(2, 2), 1))
+    assert [r["id"] for r in t.snapshot().collect()] == [2]
+    t.delete_where("id = 2")
+    t.upsert(row(2, 3), t.stream_commit(row(2, 3), 2))
+    assert [r["v"] for r in t.snapshot().collect()] == [3]
+    assert t.stream_commit(row(2, 3), 1) == sorted(c for c, k in t.commit_ids() if k == "log")[1]
+    with pytest.raises(ValueError, match="not later"):
+        t.upsert(row(9, 9), "00000000000000000-1")
+
+
+def test_create_opens_and_refuses_another_spec(spark, tmp_path):
+    shape, path = T.StructType.fromDDL("id int, v int"), str(tmp_path / "o")
+    KeyedTable.create(spark, path, shape, TableSpec(("id",))).insert(
+        spark.createDataFrame([(1, 1)], "id int, v int"))
+    assert KeyedTable.create(spark, path, shape, TableSpec(("id",))).snapshot().count() == 1
+    with pytest.raises(ValueError, match="another"):
+        KeyedTable.create(spark, path, shape, TableSpec(("id",), kind="cow"))

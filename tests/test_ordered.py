@@ -76,3 +76,22 @@ def test_no_rows(spark):
     none = frame(spark, events(6)).where("id > 99")
     assert ordered.with_position(none, [F.asc("at")]).count() == 0
     assert ordered.previous(none, ["id"], ["at"], {"v": "p"}).count() == 0
+
+
+def test_asof_nulls_and_exact_times(spark):
+    facts = [(1, 7, 2**60), (2, None, 2**60), (3, 7, None), (4, 7, 2**60 + 1)]
+    versions = [(7, 2**60 + 1, "late"), (7, 5, "early"), (None, 1, "no key"), (7, None, "no time")]
+    left = spark.createDataFrame(facts, "pos long, id long, at long")
+    right = spark.createDataFrame(versions, "id long, since long, v string")
+    got = ordered.asof_left_join(left, right, ["id"], "at", "since", ["v"], slices=3)
+    assert {r["pos"]: r["v"] for r in got.collect()} == {1: "early", 2: None, 3: None, 4: "late"}
+
+
+def test_asof_dates(spark):
+    left = spark.sql("select 1 as id, date '2024-01-02' as at")
+    right = spark.sql("select 1 as id, date '2024-01-01' as since, 'x' as v")
+    got = ordered.asof_left_join(left, right, ["id"], "at", "since", ["v"])
+    assert [r["v"] for r in got.collect()] == ["x"]
+    with pytest.raises(ValueError, match="order"):
+        ordered.asof_left_join(left.withColumn("at", F.lit("a")), right.withColumn("since", F.lit("a")),
+                               ["id"], "at", "since", ["v"])

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tidelog.session import shared_dir
 
-MAX_SLICES = 256
-
 
 def _offsets(totals: DataFrame, part: str, total: str) -> DataFrame:
     """Sum of `total` over the earlier parts. One row per partition, so it is small."""
@@ -88,15 +86,34 @@ def running_sum(df: DataFrame, order: Sequence[Column], value: str, out: str) ->
 
 
 def _number(c: Column, dtype: str) -> Column:
-    if dtype.startswith("timestamp"):
+    """A double that falls into the same order, up to rounding: good for cutting slices."""
+    if dtype == "date" or dtype.startswith("timestamp"):
         return F.unix_micros(c.cast("timestamp")).cast("double")
+    if dtype in ("string", "binary", "boolean") or "<" in dtype:
+        raise ValueError(f"cannot order by a column of type {dtype}")
     return c.cast("double")
 
 
+def _common(left: str, right: str) -> str:
+    """A type in which values of both types compare exactly."""
+    whole = ("tinyint", "smallint", "int", "bigint")
+    if left == right:
+        return left
+    if left in whole and right in whole:
+        return "bigint"
+    days = [t == "date" or t.startswith("timestamp") for t in (left, right)]
+    if all(days):
+        return "timestamp"
+    if any(days):
+        raise ValueError(f"cannot compare {left} with {right}")
+    floating = {"float", "double"} & {left, right}
+    return "double" if floating else "decimal(38,10)"
+
+
 def _bounds(df: DataFrame, order: str, slices: int | None) -> list[float]:
     """Approximate quantiles of the order column: each slice holds about 1/n of all rows."""
     spark = df.sparkSession
-    n = slices or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if n < 2:
         return []
     at = df.select(_number(F.col(order), df.schema[order].dataType.simpleString()).alias("x"))
@@ -168,13 +185,19 @@ def asof_left_join(
     """Left rows with `columns` of the right version valid at `at`: the last one of the same
     key whose `valid_from` <= `at`; nulls if there is none yet.
 
+    A null key, a null `at` and a null `valid_from` match nothing. Times are compared in their own
+    type; the slices, cut at doubles, only spread the work.
+
     Time is cut into slices as in `previous`, and the version open at the end of a slice is
     carried into every later slice in which the key has rows.
     """
     ldtype = left.schema[at].dataType.simpleString()
     rdtype = right.schema[valid_from].dataType.simpleString()
-    lx = _number(F.col(at), ldtype)
-    rx = _number(F.col(valid_from), rdtype)
+    exact = _common(ldtype, rdtype)
+    lx = _number(F.col(at).cast(exact), exact)
+    rx = _number(F.col(valid_from).cast(exact), exact)
+    for c in (*on, valid_from):
+        right = right.where(F.col(c).isNotNull())
     spread = left.select(lx.alias("x")).unionByName(right.select(rx.alias("x")))
     bounds = _bounds(spread, "x", slices)
 
@@ -182,13 +205,13 @@ def asof_left_join(
     lrows = left.select(
         "*",
         _slice(lx, bounds).alias("__slice"),
-        lx.alias("__x"),
+        F.col(at).cast(exact).alias("__x"),
         F.lit(2).alias("__kind"),
     )
     rrows = right.select(
         *on,
         _slice(rx, bounds).alias("__slice"),
-        rx.alias("__x"),
+        F.col(valid_from).cast(exact).alias("__x"),
         F.lit(1).alias("__kind"),
         held.alias("__held"),
         F.struct(*(tie or on)).alias("__tie"),
@@ -218,5 +241,6 @@ def asof_left_join(
         .unionByName(carry, allowMissingColumns=True)
         .withColumn("__seen", F.last("__held", ignorenulls=True).over(w))
         .where("__kind = 2")
+        .withColumn("__seen", F.when(F.col("__x").isNotNull(), F.col("__seen")))
         .select(*left.columns, *[F.col("__seen").getField(c).alias(c) for c in columns])
     )

@@ -20,14 +20,14 @@ CLOCK = "2024-01-10 12:30:00"
 
 
 @query("fn_strings", """select doc_id, substr(text, 1, 10) as head,
-  lang || '_sex' as label, lower(substr(text, 1, 20)) as low, length(text) as len,
+  lang || '_text' as label, lower(text) as low, length(text) as len,
   cast(len(string_split(text, ' ')) as integer) as pieces from documents""")
 def fn_strings(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         "doc_id",
         F.substring("text", 1, 10).alias("head"),
-        F.concat("lang", F.lit("_sex")).alias("label"),
-        F.lower(F.substring("text", 1, 20)).alias("low"),
+        F.concat("lang", F.lit("_text")).alias("label"),
+        F.lower("text").alias("low"),
         F.length("text").cast("long").alias("len"),
         F.size(F.split("text", " ")).alias("pieces"),
     )

@@ -17,6 +17,10 @@ def decode_csv(records: DataFrame, schema: str, time_column: str = "ts") -> Data
 
 
 def upsert_state(records: DataFrame) -> DataFrame:
-    """Latest record per key; a null value deletes the key."""
-    latest = latest_per_key(records, ["key"], ["timestamp", "partition", "offset"])
+    """Latest record per key; a null value deletes the key.
+
+    A key's records are in one partition and its offsets are their order; a producer's timestamp
+    may be older than the one before it.
+    """
+    latest = latest_per_key(records, ["key"], ["partition", "offset"])
     return latest.where("value is not null")

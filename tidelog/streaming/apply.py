@@ -92,7 +92,7 @@ def stream_log(spark: SparkSession, path: str, files_per_trigger: int | None = N
 
 def upsert_batch(table: KeyedTable) -> Batch:
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, commits.commit_id(batch_id))
+        table.upsert(batch, table.stream_commit(batch, batch_id))
 
     return each
 
@@ -145,7 +145,7 @@ def fan_out_batch(tables: dict[tuple[str, str], KeyedTable]) -> Batch:
         batch.persist()
         try:
             for (db, tb), table in tables.items():
-                apply_log(batch, table, db, tb, commits.commit_id(batch_id))
+                apply_log(batch, table, db, tb, table.stream_commit(batch, batch_id))
         finally:
             batch.unpersist()
 

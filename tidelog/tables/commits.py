@@ -24,6 +24,13 @@ def clock_commit() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")[:17]
 
 
+def following(last: str) -> str:
+    """An id that sorts after `last`."""
+    if not last:
+        return commit_id(0)
+    return f"{int(last) + 1:0{len(last)}d}" if last.isdigit() and set(last) != {"9"} else f"{last}-1"
+
+
 def _path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

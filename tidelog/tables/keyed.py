@@ -68,7 +68,12 @@ class KeyedTable:
             raise ValueError(f"'op' and '{COMMIT}' are added by the table itself")
         if len(set(schema.names)) != len(schema.names):
             raise ValueError("a column is declared twice")
-        text = json.dumps({"schema": json.loads(schema.json()), "spec": spec.to_dict()})
+        saved = {"schema": json.loads(schema.json()), "spec": spec.to_dict()}
+        text = json.dumps(saved)
+        if commits.exists(spark, f"{path}/spec/table.json"):
+            if json.loads(spark.read.text(f"{path}/spec").first()["value"]) != json.loads(text):
+                raise ValueError(f"{path} holds a table of another schema or spec")
+            return KeyedTable._of(spark, path, schema, spec)
         commits.write_text(spark, f"{path}/spec/table.json", text)
         commits.make_dir(spark, f"{path}/log")
         return KeyedTable._of(spark, path, schema, spec)
@@ -106,7 +111,7 @@ class KeyedTable:
 
     def insert(self, df: DataFrame, commit: str | None = None, overwrite: bool = False) -> str:
         """Add rows; a row whose key exists replaces it. `overwrite` starts the table anew."""
-        commit = commit or commits.clock_commit()
+        commit = self._allot(commit)
         if overwrite:
             self.truncate(commit)
         self._write(self._rows(df, "c"), commit)
@@ -114,7 +119,9 @@ class KeyedTable:
 
     def upsert(self, df: DataFrame, commit: str | None = None) -> str:
         """Apply rows, or change events if `df` has an `op` column."""
-        commit = commit or commits.clock_commit()
+        if commit is not None and commits.is_complete(self.spark, self.log, commit):
+            return commit
+        commit = self._allot(commit)
         self._write(self._rows(df, "u"), commit)
         return commit
 
@@ -124,7 +131,7 @@ class KeyedTable:
         Only the rows of the changed keys are read back; they take part as the oldest change of
         equal order.
         """
-        commit = commit or commits.clock_commit()
+        commit = self._allot(commit)
         spec = self.spec
         keys = list(spec.keys)
         absent = [f for f in self.schema if f.name not in df.columns]
@@ -158,11 +165,36 @@ class KeyedTable:
 
     def truncate(self, commit: str | None = None) -> str:
         """Empty the table from this commit on. A mark, not a rewrite: history stays readable."""
-        commit = commit or commits.clock_commit()
+        commit = self._allot(commit)
         empty = self.spark.createDataFrame([], "cut boolean")
         commits.write(empty, f"{self.path}/truncates", commit)
         return commit
 
+    def _allot(self, commit: str | None) -> str:
+        """The id of a new commit: later than all others. A given id may be the last one's, which
+        is that commit written again; an earlier one would be hidden or hide, and is refused."""
+        last = self.last_commit()
+        if commit is None:
+            return max(commits.clock_commit(), commits.following(last)) if last.isdigit() or not last \
+                else commits.following(last)
+        if commit < last:
+            raise ValueError(f"commit {commit!r} is not later than {last!r}")
+        return commit
+
+    def stream_commit(self, batch: DataFrame, batch_id: int) -> str:
+        """The commit of a micro-batch. Its token, the query and the batch, is kept with the id: a
+        batch that runs again gets the id it had, and batches of different queries never share one."""
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        token = f"{self.path}/tokens/{run}-{batch_id}"
+        last = self.last_commit()
+        if commits.exists(self.spark, token):
+            commit = self.spark.read.text(token).first()["value"]
+            if commit > last or (commit, "log") in self.commit_ids():
+                return commit
+        commit = commits.following(last)
+        commits.write_text(self.spark, token, commit)
+        return commit
+
     # -- timeline --------------------------------------------------------------------------
 
     def _timeline(self, kind: str) -> list[str]:
@@ -239,7 +271,7 @@ class MergeOnRead(KeyedTable):
 
     def delete_keys(self, keys: DataFrame, commit: str | None = None) -> str:
         """Delete rows by key alone; a key the table does not have is no error."""
-        commit = commit or commits.clock_commit()
+        commit = self._allot(commit)
         commits.write(keys.select(*self.spec.keys), f"{self.path}/deletes", commit)
         return commit
 
@@ -400,7 +432,7 @@ class CopyOnWrite(KeyedTable):
 
     def delete_keys(self, keys: DataFrame, commit: str | None = None) -> str:
         """Delete rows by key alone; a key the table does not have is no error."""
-        commit = commit or commits.clock_commit()
+        commit = self._allot(commit)
         on = [*self.spec.keys, "bucket"]
         gone = keys.select(*self.spec.keys).distinct().withColumn("bucket", self._bucket())
         # The hidden row has no order value, so whatever comes later replaces it.

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 import oracle
 from conftest import TESTDATA
+from tidelog.plans import registry
 
 RUNS, SQLS = entry.queries(), entry.oracle_sql()
 
@@ -21,7 +22,8 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(SQLS) == set(RUNS)
+    runs, sqls = registry.load()
+    assert set(sqls) == set(runs)
 
 
 def test_entry(spark):

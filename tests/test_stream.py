@@ -70,6 +70,22 @@ def test_stream_equals_batch(spark, tmp_path, landed, kind):
     assert ids == [commits.commit_id(i) for i in range(4)]
 
 
+def test_events_that_cannot_be_applied_are_kept_beside_the_table(spark, tmp_path):
+    shape = schemas.lookup("test", "student")[0]
+    rows_in = [("c", 1, 0, "1", "a"), ("t", 2, 0, "1", "cut"), (None, 3, 0, "1", "none"),
+               ("u", 4, 0, "x", "no key"), ("u", 5, 1, "1", "second"), ("u", 5, 0, "1", "first")]
+    log = spark.createDataFrame([
+        (str(i), "1", "bin.1", 4, row, "{}", json.dumps({"id": id, "name": name}), op, ts, "{}", "test", "student")
+        for i, (op, ts, row, id, name) in enumerate(rows_in)
+    ], schemas.LOG)
+    t = apply.open_target(spark, str(tmp_path), "test", "student")
+    apply.apply_log(log, t, "test", "student", "c1")
+    assert rows(t.snapshot(), "id", "name") == [(1, "second")]
+    bad = apply.bad_events(t)
+    assert rows(bad, "id", "reason") == [("1", "op"), ("2", "op"), ("3", "key")]
+    assert set(schemas.LOG.names) < set(bad.columns) and shape.names[0] in bad.columns
+
+
 def test_batch_that_fails_after_its_write_is_not_doubled(spark, tmp_path, landed):
     log = str(tmp_path / "log")
     land = apply.land_batch(log)

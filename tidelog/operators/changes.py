@@ -86,6 +86,15 @@ def unknown_ops(feed: DataFrame, op: str = "op") -> DataFrame:
     return feed.where(F.col(op).isNull() | ~F.col(op).isin(*KNOWN_OPS))
 
 
+def reason_not_applied(keys: Sequence[str], op: str = "op") -> Column:
+    """Why a typed change cannot be applied: its op is unknown, or it names no row. Else null."""
+    unnamed = F.lit(False)
+    for k in keys:
+        unnamed = unnamed | F.col(k).isNull()
+    known = F.coalesce(F.col(op).isin(*KNOWN_OPS), F.lit(False))
+    return F.when(~known, "op").when(unnamed, "key")
+
+
 def route(op: str = "op") -> Column:
     """What an event does to its target: insert, update, delete, or unknown."""
     c = F.col(op)

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.changes import current_state, latest_per_key, partial_state
 from tidelog.plans.inputs import (
-    FEED_ORDER, IMAGE, feed, feed_sql, feed_stream, feed_table, log, ntz, state_sql, table,
+    FEED_ORDER, IMAGE, envelopes, feed, feed_sql, feed_stream, feed_table, land_text, log, ntz,
+    state_sql, table,
 )
 from tidelog.plans.registry import query
 from tidelog.schemas import EVENT_ORDER, TableSpec
 from tidelog.session import scratch
 from tidelog.sources import jdbc
-from tidelog.sources.feed import typed_changes
+from tidelog.sources.feed import decode, read_feed, typed_changes
 from tidelog.streaming.apply import (
-    apply_log, finish, open_target, run_batches, stream_upsert, target_schema,
+    apply_log, bad_events, finish, open_target, run_batches, stream_upsert, target_schema,
 )
 from tidelog.tables.commits import commit_id
 from tidelog.tables.keyed import KeyedTable
@@ -160,6 +161,25 @@ def app_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(t.snapshot().select(*IMAGE.names), "ts")
 
 
+@query("cdc_bad_events", feed_sql("""select
+  case when pos % 101 = 0 then 'op' else 'key' end as reason, count(*) as n
+from feed where pos % 101 = 0 or pos % 103 = 0 group by all"""))
+def cdc_bad_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of an unknown op or without a key, which a stream keeps beside its table."""
+    root = scratch(spark, "bad-events")
+    odd = feed(spark, sf).withColumns({
+        "op": F.when(F.col("pos") % 101 == 0, "t").otherwise(F.col("op")),
+        "id": F.when(F.col("pos") % 103 != 0, F.col("id")),
+    })
+    land_text(envelopes(odd), f"{root}/landed")
+    events = decode(read_feed(spark, f"{root}/landed", streaming=True))
+    t = KeyedTable.create(
+        spark, f"{root}/table", target_schema(IMAGE), TableSpec(("id",), EVENT_ORDER)
+    )
+    finish(stream_upsert(typed_changes(events, IMAGE), t, f"{root}/checkpoint"))
+    return bad_events(t).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query("app_jdbc_upsert", state_sql("id, value, data"))
 def app_jdbc_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """A changing query's rows upserted by primary key as its batches come."""

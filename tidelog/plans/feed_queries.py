@@ -17,7 +17,7 @@ from tidelog.session import scratch
 from tidelog.sources import feed as feeds
 from tidelog.streaming.apply import finish, land_log, read_log
 
-LOG_SQL = """event_id as id, '1' as server_id, file, pos, before, after, op, ts_ms,
+LOG_SQL = """event_id as id, '1' as server_id, file, pos, row_no as row, before, after, op, ts_ms,
 primary_key_data, db, tb"""
 
 

@@ -63,7 +63,7 @@ def env_sql(body: str) -> str:
 
 def state_sql(columns: str, where: str = "true", source: str = "feed") -> str:
     """Latest row per id, deletes removed."""
-    order = "ts desc, pos desc" if source == "feed" else "ts_ms desc, file desc, pos desc"
+    order = "ts desc, pos desc" if source == "feed" else "ts_ms desc, file desc, pos desc, row_no desc"
     make = feed_sql if source == "feed" else env_sql
     return make(f""", ranked as (
   select *, row_number() over (partition by id order by {order}) as rn

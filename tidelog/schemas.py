@@ -30,7 +30,7 @@ ENVELOPE = schema(
 
 # One row of the flat change log.
 LOG = schema(
-    id=STRING, server_id=STRING, file=STRING, pos=LONG, before=STRING, after=STRING,
+    id=STRING, server_id=STRING, file=STRING, pos=LONG, row=INT, before=STRING, after=STRING,
     op=STRING, ts_ms=LONG, primary_key_data=STRING, db=STRING, tb=STRING,
 )
 
@@ -41,8 +41,8 @@ LOG_STOCK = schema(
 )
 
 # Order of events: snapshot rows carry an empty file name and so come first within a
-# millisecond.
-EVENT_ORDER = ("ts_ms", "file", "pos")
+# millisecond. One position holds an event for each row its statement changed.
+EVENT_ORDER = ("ts_ms", "file", "pos", "row")
 
 KNOWN_OPS = ("r", "c", "u", "d")
 

@@ -147,23 +147,24 @@ def start_from(
         if after is None:
             return log
         return log.where(
-            F.struct(*EVENT_ORDER) > F.struct(*[F.lit(after[c]).alias(c) for c in EVENT_ORDER])
+            F.struct(*EVENT_ORDER)
+            > F.struct(*[F.lit(after[c]).cast(LOG[c].dataType).alias(c) for c in EVENT_ORDER])
         )
     raise ValueError(f"unknown start mode {mode!r}")
 
 
-def typed_changes(log: DataFrame, schema: T.StructType) -> DataFrame:
+def typed_changes(log: DataFrame, schema: T.StructType, *more: Column) -> DataFrame:
     """Log rows of one table as typed rows with `op` and the event order.
 
     A delete has no after-image, so its columns come from the before-image, filled up with the
-    key, which is all a delete needs to carry.
+    key, which is all a delete needs to carry. `more` are further columns of the log to keep.
     """
     gone = F.col("op") == "d"
     no_before = F.col("before").isin("{}", "null")
     image = F.when(gone & no_before, F.col("primary_key_data")).when(gone, F.col("before"))
     return (
         log.withColumn("__fields", image_map(image.otherwise(F.col("after"))))
-        .select(*typed_fields(F.col("__fields"), schema), "op", *EVENT_ORDER)
+        .select(*typed_fields(F.col("__fields"), schema), "op", *EVENT_ORDER, *more)
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidelog.operators.changes import reason_not_applied
 from tidelog.schemas import EVENT_ORDER, LOG, TableSpec, lookup
 from tidelog.sources.feed import select_table, typed_changes
 from tidelog.tables import commits
@@ -90,9 +91,39 @@ def stream_log(spark: SparkSession, path: str, files_per_trigger: int | None = N
 # -- tables --------------------------------------------------------------------------------
 
 
+def upsert_changes(changes: DataFrame, table: KeyedTable, commit: str, kept: str = "*") -> None:
+    """Apply the change events that can be applied. The others, with `reason`, go to the table's
+    log of bad events under the same commit; of them the columns `kept` are written."""
+    marked = changes.withColumn("reason", reason_not_applied(table.spec.keys)).persist()
+    try:
+        bad = marked.where("reason is not null")
+        if not bad.isEmpty():
+            columns = ["*"] if kept == "*" else [kept, "reason"]
+            commits.write(bad.select(*columns), bad_log(table), commit)
+        table.upsert(marked.where("reason is null"), commit)
+    finally:
+        marked.unpersist()
+
+
+def bad_log(table: KeyedTable) -> str:
+    return f"{table.path}/bad"
+
+
+def bad_events(table: KeyedTable) -> DataFrame:
+    """The events that could not be applied, each with its reason; no rows if there were none."""
+    spark, path = table.spark, bad_log(table)
+    if not commits.complete(spark, path):
+        return spark.createDataFrame([], "reason string, commit_time string")
+    return spark.read.parquet(path)
+
+
 def upsert_batch(table: KeyedTable) -> Batch:
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, table.stream_commit(batch, batch_id))
+        commit = table.stream_commit(batch, batch_id)
+        if "op" in batch.columns:
+            upsert_changes(batch, table, commit)
+        else:
+            table.upsert(batch, commit)
 
     return each
 
@@ -132,10 +163,14 @@ def open_target(
 
 
 def apply_log(log: DataFrame, table: KeyedTable, db: str, tb: str, commit: str) -> None:
-    """Apply one table's events, deletes included, in one pass."""
+    """Apply one table's events, deletes included, in one pass.
+
+    Of an event that cannot be applied the log row is kept as it came, see `bad_events`.
+    """
     schema, _ = lookup(db, tb)
-    events = select_table(log, db, tb).where(F.col("op").isin("r", "c", "u", "d"))
-    table.upsert(typed_changes(events, schema), commit)
+    event = F.struct(*LOG.names).alias("event")
+    changes = typed_changes(select_table(log, db, tb), schema, event)
+    upsert_changes(changes, table, commit, kept="event.*")
 
 
 def fan_out_batch(tables: dict[tuple[str, str], KeyedTable]) -> Batch:

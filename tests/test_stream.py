@@ -110,6 +110,18 @@ def test_batch_that_fails_after_its_write_is_not_doubled(spark, tmp_path, landed
     assert apply.read_log(spark, log).count() == 60
 
 
+def test_feeds_share_a_log(spark, tmp_path, landed):
+    log = str(tmp_path / "log")
+    apply.finish(apply.land_log(stream(spark, landed, 9), log, str(tmp_path / "one")))
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "more.json").write_text("\n".join(lines(63)[59:]))  # one event is there already
+    apply.finish(apply.land_log(stream(spark, str(other), 9), log, str(tmp_path / "two")))
+    assert len(commits.complete(spark, log)) == 2
+    back = apply.read_log(spark, log)
+    assert back.count() == 63 and back.select("id").distinct().count() == 63
+
+
 def test_resume_reads_only_what_is_new(spark, tmp_path, landed):
     log, cp = str(tmp_path / "log"), str(tmp_path / "cp")
     apply.finish(apply.land_log(stream(spark, landed, 9), log, cp))

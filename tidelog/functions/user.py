@@ -18,7 +18,7 @@ def register_splitter(spark: SparkSession, name: str, split: Callable[[str], lis
                 for piece in split(text):
                     yield (piece,)
 
-    spark.udtf.register(name, udtf(Splitter, returnType="word string"))
+    spark.udtf.register(name, udtf(Splitter, returnType="word string", useArrow=True))
 
 
 def map_with_setup(

@@ -49,7 +49,9 @@ env as (
          case when op in ('u', 'd') then image else '{}' end as before,
          case when op = 'd' then '{}' else image end as after,
          sha256(concat_ws(chr(1), db, tb, file, cast(pos as varchar), cast(row_no as varchar),
-                          primary_key_data, op, cast(ts_ms as varchar))) as event_id
+                          primary_key_data, op, cast(ts_ms as varchar),
+                          case when op in ('u', 'd') then image else '{}' end,
+                          case when op = 'd' then '{}' else image end)) as event_id
   from env0)"""
 
 

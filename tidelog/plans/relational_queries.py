@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.clock import is_today, now
@@ -81,21 +81,22 @@ DIMENSION = schema(id=LONG, name=STRING, ts=TIMESTAMP, pos=LONG)
 
 
 @query("rel_changelog_left_join", feed_sql(""", facts as (
-  select id, data, cast(pos % 100 as varchar) as data3, op,
-    row_number() over (partition by id order by ts desc, pos desc) as rn
+  select id, data, cast(id as varchar) as data3, op,
+    row_number() over (partition by id, data order by ts desc, pos desc) as rn
   from feed where pos % 2 = 0),
 dims as (
-  select id % 100 as id, data as name, op,
-    row_number() over (partition by id % 100 order by ts desc, pos desc) as rn
+  select id, data as name, op,
+    row_number() over (partition by id order by ts desc, pos desc) as rn
   from feed where pos % 2 = 1)
 select f.id, f.data, f.data3, d.name
 from (select * from facts where rn = 1 and op <> 'd') f
 left join (select * from dims where rn = 1 and op <> 'd') d on f.data3 = cast(d.id as varchar)"""))
 def rel_changelog_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Half of the feed changes facts, the other half dimension rows, arriving out of order."""
+    """Half of the feed changes facts (a user's row per kind), the other half dimension rows (one
+    per user), arriving out of order."""
     root = scratch(spark, "changelog-join")
     join = ChangelogLeftJoin(
-        spark, f"{root}/tables", (FACT, TableSpec(("id",), FEED_ORDER)),
+        spark, f"{root}/tables", (FACT, TableSpec(("id", "data"), FEED_ORDER)),
         (DIMENSION, TableSpec(("id",), FEED_ORDER)), "data3", ["name"],
     )
     events = feed(spark, sf)
@@ -107,10 +108,8 @@ def rel_changelog_left_join(spark: SparkSession, sf: str) -> DataFrame:
     )
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        facts = batch.where("pos % 2 = 0").withColumn(
-            "data3", (F.col("pos") % 100).cast("string")
-        )
-        dims = batch.where("pos % 2 = 1").withColumn("id", F.col("id") % 100)
+        facts = batch.where("pos % 2 = 0").withColumn("data3", F.col("id").cast("string"))
+        dims = batch.where("pos % 2 = 1")
         join.apply(facts, dims.withColumnRenamed("data", "name"), commit_id(batch_id))
 
     finish(run_batches(stream, each, f"{root}/checkpoint"))
@@ -195,9 +194,9 @@ def rel_sort_partition(spark: SparkSession, sf: str) -> DataFrame:
 def rel_top_k(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     order = [F.desc("c_acctbal"), F.asc("c_custkey")]
-    return with_position(customer.orderBy(*order).limit(10), order).select(
-        "pos", "c_custkey", "c_acctbal"
-    )
+    top = customer.orderBy(*order).limit(10)  # ten rows are left for the window below
+    pos = F.row_number().over(Window.orderBy(*order)).cast("long").alias("pos")
+    return top.select(pos, "c_custkey", "c_acctbal")
 
 
 @query("rel_union_all", """select event_id as id, event_type as name from events

@@ -43,7 +43,9 @@ def topic_route(topic: Column) -> tuple[Column, Column]:
 
 def event_id(*parts: Column) -> Column:
     """Id computed from what identifies the event, so a redelivered event keeps its id."""
-    return F.sha2(F.concat_ws("\x01", *[p.cast("string") for p in parts]), 256)
+    # A missing part is told from an empty one.
+    texts = [F.coalesce(p.cast("string"), F.lit("\x02")) for p in parts]
+    return F.sha2(F.concat_ws("\x01", *texts), 256)
 
 
 def _key_text(keys: Sequence[str]) -> Column:
@@ -70,7 +72,8 @@ def decode(df: DataFrame, keys: Sequence[str] = ("id",), value: str = "value") -
         "ts_ms",
         F.coalesce(F.col("key"), _key_text(keys)).alias("primary_key_data"),
     )
-    names = ("db", "tb", "file", "pos", "row", "primary_key_data", "op", "ts_ms")
+    # The images are part of it: snapshot rows without a key share all the rest.
+    names = ("db", "tb", "file", "pos", "row", "primary_key_data", "op", "ts_ms", "before", "after")
     return flat.withColumn("id", event_id(*[F.col(n) for n in names])).select(*LOG.names)
 
 

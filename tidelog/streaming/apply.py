@@ -1,7 +1,9 @@
 """Landing and applying change feeds as streams.
 
-Each micro-batch is one commit whose id comes from the batch id, so a batch that is run again
-after a failure finds its own commit: done work is skipped, half-done work is written anew.
+Each micro-batch is one commit that belongs to its query and batch, so a batch that is run again
+after a failure finds its own commit: done work is skipped, half-done work is written anew. Feeds
+with checkpoints of their own never share a commit, and an event that is delivered again, by
+another feed or after a checkpoint was lost, is told by its id.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.changes import reason_not_applied
+from tidelog.operators.changes import latest_per_key, reason_not_applied
 from tidelog.schemas import EVENT_ORDER, LOG, TableSpec, lookup
 from tidelog.sources.feed import select_table, typed_changes
 from tidelog.tables import commits
@@ -57,7 +59,8 @@ def land_batch(path: str) -> Batch:
 
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*LOG.names).hint("rebalance", "db", "tb")
-        commits.write(rows, path, commits.commit_id(batch_id), ("db", "tb"))
+        commit = f"{commits.commit_id(batch_id)}-{commits.query_of(batch)}"
+        commits.write(rows, path, commit, ("db", "tb"))
 
     return each
 
@@ -72,12 +75,16 @@ def land_log(
 def read_log(
     spark: SparkSession, path: str, after: str = "", upto: str | None = None
 ) -> DataFrame:
-    """Log rows of the complete commits in (after, upto]."""
+    """Log rows of the complete commits in (after, upto], each event once.
+
+    Bounds may be whole commit ids or just those of the batches they begin with.
+    """
     ids = [
         c for c in commits.complete(spark, path)
-        if c > after and (upto is None or c <= upto)
+        if (not after or c[:len(after)] > after) and (upto is None or c[:len(upto)] <= upto)
     ]
-    return commits.read(spark, path, ids, LOG)
+    # By database and table too, so that a filter on them still reaches the directories.
+    return latest_per_key(commits.read(spark, path, ids, LOG), ["db", "tb", "id"], ["ts_ms"])
 
 
 def stream_log(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -197,8 +204,11 @@ def fan_out(
     files_per_trigger: int | None = None,
 ) -> dict[tuple[str, str], KeyedTable]:
     """Keep many targets up to date from one log. A table added later gets its own query over
-    the same log and so starts from its first event."""
+    the same log and so starts from its first event. With an interval the query keeps running
+    when this returns."""
     tables = {(db, tb): open_target(spark, root, db, tb) for db, tb in names}
     stream = stream_log(spark, log_path, files_per_trigger)
-    finish(run_batches(stream, fan_out_batch(tables), checkpoint, interval))
+    query = run_batches(stream, fan_out_batch(tables), checkpoint, interval)
+    if not interval:
+        finish(query)
     return tables

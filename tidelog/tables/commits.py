@@ -19,6 +19,11 @@ def commit_id(batch_id: int) -> str:
     return f"{batch_id:017d}"
 
 
+def query_of(batch: DataFrame) -> str:
+    """The streaming query a micro-batch belongs to; its checkpoint keeps it over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def clock_commit() -> str:
     """Sortable commit of a batch job."""
     return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")[:17]

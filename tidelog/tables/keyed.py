@@ -184,8 +184,7 @@ class KeyedTable:
     def stream_commit(self, batch: DataFrame, batch_id: int) -> str:
         """The commit of a micro-batch. Its token, the query and the batch, is kept with the id: a
         batch that runs again gets the id it had, and batches of different queries never share one."""
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-        token = f"{self.path}/tokens/{run}-{batch_id}"
+        token = f"{self.path}/tokens/{commits.query_of(batch)}-{batch_id}"
         last = self.last_commit()
         if commits.exists(self.spark, token):
             commit = self.spark.read.text(token).first()["value"]
@@ -455,5 +454,9 @@ class CopyOnWrite(KeyedTable):
     def _state(self, instant: str | None) -> DataFrame:
         return self._read(self._buckets(instant)).drop("bucket")
 
+    def stream_changes(self, from_commit: str = FIRST) -> DataFrame:
+        """Refused: a commit holds whole buckets, rows that did not change among them."""
+        raise ValueError("a copy-on-write table has no stream of changes")
+
     def incremental(self, begin: str = FIRST, end: str | None = None) -> DataFrame:
         return self.as_of(end).where(F.col(COMMIT) > begin)

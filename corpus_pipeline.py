@@ -20,9 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, over two-word shingles as in the query."""
+    """One document of each group of near-duplicates, over five-word shingles."""
     ready(spark)
-    return minhash.keep_one(docs, words=2, percent=80)
+    return minhash.keep_one(docs, words=5, percent=80)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

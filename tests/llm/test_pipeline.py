@@ -46,6 +46,14 @@ def test_stages(spark):
             assert max(full.values()) <= 4096 and len(full) <= -(-sum(full.values()) // 4096) + 1
 
 
+def test_near_dedup_takes_five_words(spark):
+    docs = corpus_pipeline.quality(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    two, five = ({w[0] for w in brute.near(rows, k=k) if w[3] or not w[1]} for k in (2, 5))
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).select("doc_id").collect()}
+    assert kept == five and two < five
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()

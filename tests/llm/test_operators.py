@@ -248,6 +248,23 @@ def test_pages(spark):
     assert html_text.extract(pages.where("false")).count() == 0
 
 
+LONG = "Words of a text. " * 20
+
+
+@pytest.mark.parametrize("page", [
+    "<p>{}</p><script>for(var i=0;i<n;i++){{f(i)}}</script><p>{}</p>",
+    "<p>{}</p><style>a<b{{}}</STYLE ><p>{}</p>",
+    "<p>{}</p><textarea>a<b \"c</textarea><p>{}</p>",
+    "<head><title>a<b</title></head><body><p>{}</p><iframe>a<b</iframe><p>{}</p>",
+    "<head><title>T</title><meta name=a><p>{}</p><div>{}</div>",
+    "<head><template><p>T</p></template><script>if(a<b)c</script><style>a<b{{}}</style><div>{}</div><p>{}</p>",
+    "<script><!-- w('<script>x</script>') --></script><p>{}</p><script><!-- x<y </script><p>{}</p>",
+    "<head><title>T<body><p>{}</p><p>{}</p><script>a<b",
+])
+def test_text_behind_raw_elements(page):
+    assert html_text.main_text(page.format(LONG, LONG)) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
 def test_cut_is_least():
     r = random.Random(8)
     for _ in range(200):

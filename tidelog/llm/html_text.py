@@ -23,7 +23,12 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 # Elements by what they mean for a block.
-_SKIPPED = frozenset("script style template noscript title head svg math iframe object textarea select".split())
+_SKIPPED = frozenset("script style template noscript title svg math iframe object textarea select".split())
+# What stands in these is no markup up to their own closing tag.
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I | re.A)
+        for t in "script style title textarea iframe noscript".split()}
+_BODY = re.compile(r"<body(?=[\s/>])", re.I | re.A)
+_SCRIPT = re.compile(r"<!---*>|-->|<!--|<script(?=[\s/>])|</script(?=[\s/>])[^>]*>?", re.I | re.A)
 _BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table "
@@ -76,6 +81,32 @@ def mark(tag: str, attributes: str, inside: int) -> int:
     return inside
 
 
+def behind(page: str, tag: str, at: int) -> int:
+    """The place behind the closing tag of a raw element whose text begins at `at`.
+
+    As in HTML, a script inside a comment of a script closes with its own tag. An element that is
+    never closed ends where the body begins, or with the page.
+    """
+    depth = 0  # 1 inside a comment, 2 inside a script in it
+    for m in _SCRIPT.finditer(page, at) if tag == "script" else ():
+        token = m.group()
+        if token[:2] == "</":
+            if depth < 2:
+                return m.end()
+            depth = 1
+        elif token[-1] == ">":
+            depth = 0
+        elif token == "<!--":
+            depth = max(depth, 1)
+        elif depth:
+            depth = 2
+    m = _RAW[tag].search(page, at)
+    if m:
+        return m.end()
+    m = _BODY.search(page, at)
+    return m.start() if m else len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order. An element's path names it and all it stands in."""
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, number, mark
@@ -84,8 +115,10 @@ def blocks(page: str) -> list[Block]:
     number = links = 0
     skip = ""
     path: tuple = ((0, 0),)
-    for m in _TOKEN.finditer(page):
-        token, tag = m.group(), m.group(2)
+    at = 0
+    while at < len(page):
+        m = _TOKEN.match(page, at)
+        at, token, tag = m.end(), m.group(), m.group(2)
         if tag is None:
             if skip or token[0] == "<" and len(token) > 1:
                 continue
@@ -99,15 +132,14 @@ def blocks(page: str) -> list[Block]:
                 now.link += len(token.strip())
             continue
         tag, closing = tag.lower(), m.group(1)
+        if tag in _RAW and not closing and skip not in ("svg", "math"):
+            if not m.group(3).endswith("/"):
+                at = behind(page, tag, at)
+            continue
         if skip:
             if closing and tag == skip:
                 skip = ""
-            elif not closing and skip == "head" and tag == "body":
-                skip = ""
-            else:
-                continue
-            if tag != "body":
-                continue
+            continue
         if tag in _SKIPPED:
             if not closing and not m.group(3).endswith("/"):
                 skip = tag
@@ -122,9 +154,9 @@ def blocks(page: str) -> list[Block]:
             continue
         now, links = None, 0
         if closing:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if at:
-                del stack[at:]
+            top = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            if top:
+                del stack[top:]
         elif tag not in _VOID:
             if tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack[-1][0] == tag:
                 stack.pop()

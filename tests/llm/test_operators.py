@@ -204,6 +204,22 @@ def test_quality_tells_junk(spark):
     assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.25 * len(junk)
 
 
+def test_copies_do_not_move_references(spark):
+    """With one junk text in a third of the rows every document is judged as without its copies."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    judged = {r.doc_id: (r.kept, r.js_class, r.js_common) for r in divergence.score(docs).collect()}
+    sound = {r.doc_id for r in divergence.score(docs).where("not base_failed").collect()}
+    english = {r.doc_id for r in docs.where("lang = 'en'").collect()}
+    junk = max((d for d in sound & english if not judged[d][0]), key=lambda d: judged[d][2])
+    copies = docs.where(F.col("doc_id") == junk).crossJoin(spark.range(1, 1 + len(judged) // 2).toDF("i")).select(
+        (-F.col("i")).alias("doc_id"), "text", "lang")
+    many = docs.unionByName(copies)
+    again = {r.doc_id: (r.kept, r.js_class, r.js_common) for r in divergence.score(many).collect()}
+    assert {d: x for d, x in again.items() if d >= 0} == judged
+    assert {x for d, x in again.items() if d < 0} == {judged[junk]}
+    assert divergence.keep_good(many).count() == sum(x[0] for x in judged.values())
+
+
 @pytest.mark.parametrize("block_words", [2_000_000, 20])
 def test_contamination(spark, compare, block_words):
     r = random.Random(5)

@@ -1,13 +1,16 @@
 """Quality rules: how far a text's characters and common words are from its language's.
 
 Two passes over the texts. The first adds up, for each language, the histograms of character
-classes and of common words over all documents that pass the base rules; what is left is one row
-of numbers for each of the listed languages and one for all others. The second compares each
+classes and of common words over all distinct texts that pass the base rules, so that copies do
+not pull the reference to themselves: only hashes and histograms are shuffled. What is left is one
+row of numbers for each of the listed languages and one for all others. The second compares each
 text with its language by the Jensen-Shannon distance (base 2, 0 to 1).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -96,27 +99,44 @@ def language(value: str | None) -> str:
 
 
 def references(docs: DataFrame, text: str, lang: str | None) -> dict[str, tuple]:
-    """Histograms of each listed language, over all documents that pass the base rules."""
+    """Histograms of each listed language, over all distinct texts that pass the base rules."""
     width = len(CLASSES) + len(SLOT) + 1
+    types = {"lang": pa.string(), "h": pa.binary(), "shares": pa.binary()}
 
-    def add(batches):
-        sums = {k: np.zeros(width, np.int64) for k in (*COMMON, OTHER)}
+    def measure(batches):
         for b in batches:
             data, offsets = flat(b.column(0))
-            langs = b.column(1).to_pylist()
+            langs, rows = b.column(1).to_pylist(), {}
             for i in range(b.num_rows):
-                counts, classes, common = measured(data[offsets[i]:offsets[i + 1]])
+                body = data[offsets[i]:offsets[i + 1]]
+                key = language(langs[i]), hashlib.blake2b(body, digest_size=16).digest()
+                if key in rows:
+                    continue
+                counts, classes, common = measured(body)
                 if not failed(counts):
                     both = [h * ONE // max(int(h.sum()), 1) for h in (classes, common)]
-                    sums[language(langs[i])] += np.concatenate(both)
+                    shares = np.concatenate(both)
+                    at = np.flatnonzero(shares)
+                    rows[key] = at.astype("u1").tobytes() + shares[at].astype("<u4").tobytes()
+            yield batch({"lang": [k[0] for k in rows], "h": [k[1] for k in rows],
+                         "shares": list(rows.values())}, types)
+
+    def add(batches):
+        sums = {k: np.zeros(width, np.int64) for k in (*COMMON, OTHER)}
+        for b in batches:
+            for k, shares in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                n = len(shares) // 5  # one byte of a slot and four of its share
+                sums[k][np.frombuffer(shares, "u1", n)] += np.frombuffer(shares, "<u4", n, n)
         for k, v in sums.items():
             yield batch({"lang": [k] * width, "slot": np.arange(width), "n": v},
                         {"lang": pa.string(), "slot": pa.int64(), "n": pa.int64()})
 
     tag = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
     parts = docs.select(utf8(text).alias("b"), tag.alias("lang"))
-    total = parts.mapInArrow(add, "lang string, slot long, n long").groupBy("lang", "slot").agg(
-        F.sum("n").alias("n"))
+    each = parts.mapInArrow(measure, "lang string, h binary, shares binary").groupBy("lang", "h").agg(
+        F.first("shares").alias("shares"))
+    total = each.select("lang", "shares").mapInArrow(add, "lang string, slot long, n long").groupBy(
+        "lang", "slot").agg(F.sum("n").alias("n"))
     sums = {k: np.zeros(width, np.float64) for k in (*COMMON, OTHER)}
     for row in total.collect():  # five languages by `width` numbers
         sums[row["lang"]][row["slot"]] = row["n"]

@@ -8,8 +8,6 @@ sys.path.insert(0, str(ROOT))
 
 from tidelog import session  # noqa: E402
 
-TESTDATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -27,9 +25,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, for comparison by value."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

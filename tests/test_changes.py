@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidelog.operators.changes import (
     current_state, known_ops, latest_per_key, partial_state, route, unknown_ops,
 )

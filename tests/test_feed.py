@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidelog import schemas
 from tidelog.functions import sql_text
 from tidelog.functions.images import field_state, typed_image

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidelog.operators.joins import ChangelogLeftJoin, left_join_cast
 from tidelog.schemas import INT, LONG, STRING, TableSpec, schema
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from helpers import rows
 from tidelog.schemas import INT, STRING, TableSpec
 from tidelog.schemas import schema as schema_of
 from tidelog.tables import commits

@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
-from conftest import TESTDATA
+from helpers import TESTDATA
 from tidelog.plans import registry
 
-RUNS, SQLS = entry.queries(), entry.oracle_sql()
+RUNS, SQLS = registry.load()
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidelog import session
 from tidelog.functions import clock
 from tidelog.functions.user import map_with_setup, register_splitter

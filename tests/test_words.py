@@ -1,6 +1,6 @@
 """Word counts of the sample lines."""
 
-from conftest import rows
+from helpers import rows
 from tidelog.operators.words import word_count
 from tidelog.sources.files import read_lines
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidelog import session
 from tidelog.llm import (
-    chat, decontaminate, divergence, html_text, licenses, minhash, packing, repeats, sharding, token_files,
+    chat, collocations, decontaminate, divergence, html_text, licenses, minhash, packing, prefix_tokens, repeats,
+    sharding, token_files,
 )
 from tidelog.llm.common import ready, table
 
@@ -70,6 +71,15 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tokens.prefix_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("prefix")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP6_SQL = rf"""
@@ -136,10 +146,51 @@ select conv_id, count(*) as n_turns,
 from e group by conv_id
 """
 
+OP13_SQL = rf"""
+with d as (
+    select row_number() over () as id, coalesce(lang, 'und') as lang,
+        regexp_split_to_array({LOW}, '[.,;:!?\x0A-\x0D]') as pieces
+    from documents where text is not null),
+p as (select id, lang, unnest(pieces) as piece, generate_subscripts(pieces, 1) as k from d),
+v as (select id, lang, k, regexp_extract_all(piece, '[^\x20\x09]+') as v from p),
+w as (select id, lang, k, unnest(v) as w, generate_subscripts(v, 1) as j from v),
+places as (
+    select lang, w as w1, lead(w, 1) over q as w2, lead(w, 2) over q as w3, lead(w, 3) over q as w4
+    from w window q as (partition by id, k order by j)),
+grams as (
+    select lang, 1 as size, w1 as phrase, count(*) as f from places group by all
+    union all select lang, 2, w1 || ' ' || w2, count(*) from places where w2 is not null group by all
+    union all select lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) from places where w3 is not null group by all
+    union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*)
+        from places where w4 is not null group by all),
+n as (select lang, sum(f) as n from grams where size = 1 group by lang),
+c as (select *, string_split(phrase, ' ') as v from grams where size > 1 and f >= 30),
+cuts as (
+    select c.lang, c.size, c.phrase, c.f as a, k, p.f as l, q.f as r,
+        cast(cast(2000000 as hugeint) * c.f // (p.f + q.f) as bigint) as score
+    from c, unnest(range(1, c.size)) as x(k), grams p, grams q
+    where p.lang = c.lang and p.size = k and p.phrase = array_to_string(c.v[1:k], ' ')
+        and q.lang = c.lang and q.size = c.size - k and q.phrase = array_to_string(c.v[k + 1:], ' ')),
+rated as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+parts as (
+    select c.lang, size as s, array_to_string(v[i:i + s2 - 1], ' ') as part, c.f as longer
+    from c, unnest(range(2, c.size)) as x(s2), unnest(range(1, c.size - s2 + 2)) as y(i)),
+gone as (
+    select distinct r.lang, r.phrase from rated r join parts p on p.lang = r.lang and p.part = r.phrase
+    where 100 * cast(p.longer as hugeint) >= 80 * cast(r.a as hugeint)),
+ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from rated anti join gone using (lang, phrase))
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l,
+    cast(r as bigint) as r, cast(n as bigint) as n, score
+from ranked join n using (lang) where rank <= 2000
+"""
+
 _RUNS = (
     op1_differencing_shards, op2_best_fit_packing, op3_license_scan, op4_token_files,
     op5_distribution_divergence, op6_decontamination, op7_main_text, op8_near_duplicates, op9_reply_trees,
-    op10_repeated_passages,
+    op10_repeated_passages, op11_prefix_token_counts, op13_collocations,
 )
 
 
@@ -151,4 +202,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": OP6_SQL, "op8_near_duplicates": OP8_SQL, "op9_reply_trees": OP9_SQL}
+    return {"op6_decontamination": OP6_SQL, "op8_near_duplicates": OP8_SQL, "op9_reply_trees": OP9_SQL,
+            "op13_collocations": OP13_SQL}

@@ -28,7 +28,7 @@ def test_stages(spark):
         if number == 0:
             assert set(now) == {r.doc_id for r in divergence.score(before).where("kept").collect()}
         elif number == 1:
-            assert set(now) == {w[0] for w in brute.near(list(was.items())) if w[3] or not w[1]}
+            assert set(now) == {w[0] for w in brute.near(list(was.items()), k=5) if w[3] or not w[1]}
         elif number == 2:
             want = {w[0]: w for w in brute.repeats(list(was.items()))}
             assert set(now) == set(was)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelog import session
 from tidelog.llm import (
-    chat, collocations, decontaminate, divergence, html_text, licenses, minhash, packing, prefix_tokens, repeats,
+    chat, collocations, decontaminate, divergence, html_text, licenses, minhash, packing, prefix_tokens, repair, repeats,
     sharding, token_files,
 )
 from tidelog.llm.common import ready, table
@@ -76,6 +76,11 @@ def op11_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("prefix")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -190,7 +195,7 @@ from ranked join n using (lang) where rank <= 2000
 _RUNS = (
     op1_differencing_shards, op2_best_fit_packing, op3_license_scan, op4_token_files,
     op5_distribution_divergence, op6_decontamination, op7_main_text, op8_near_duplicates, op9_reply_trees,
-    op10_repeated_passages, op11_prefix_token_counts, op13_collocations,
+    op10_repeated_passages, op11_prefix_token_counts, op12_conversation_repair, op13_collocations,
 )
 
 

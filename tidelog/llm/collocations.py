@@ -37,6 +37,7 @@ NO_LANG = "und"
 STEP = 2 << 20  # bytes of text that are split at a time
 HELD = 2_000_000  # entries a task holds before it hands them on
 RUN_BYTES = 48 << 20  # memory of the runs a task holds, about
+W = ["w1", "w2", "w3", "w4"]
 SPREAD = 64  # parts in which a language's phrases are ranked before they meet
 FILTER_BITS = 1 << 26  # of each filter: 8 MiB, whatever the input
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -206,21 +207,30 @@ def count_words(texts: DataFrame) -> DataFrame:
     return found.groupBy("lang", F.col("word").cast("string").alias("word")).agg(F.sum("f").alias("f"))
 
 
-def word_keys(words: DataFrame) -> DataFrame:
+def chained(hashes: list[np.ndarray], seed: np.ndarray) -> np.ndarray:
+    """The key of phrases, given the hashes of their first, second .. words."""
+    key = hashes[0]
+    for more in hashes[1:]:
+        key = joined(key, more)
+    return joined(key, seed)
+
+
+def phrase_keys(phrases: DataFrame, columns: list[str]) -> DataFrame:
     def key(batches):
         for b in batches:
-            names, which = np.unique(np.array(b.column(0).to_pylist(), object), return_inverse=True)
-            found = joined(hashed(b.column(1).to_pylist()), seeds(list(names))[which]) if b.num_rows else which
-            yield batch({"key": found.view(np.int64)}, {"key": pa.int64()})
+            if b.num_rows:
+                names, which = np.unique(np.array(b.column(0).to_pylist(), object), return_inverse=True)
+                found = chained([hashed(c.to_pylist()) for c in b.columns[1:]], seeds(list(names))[which])
+                yield batch({"key": found.view(np.int64)}, {"key": pa.int64()})
 
-    return words.select("lang", F.col("word").cast("binary")).mapInArrow(key, "key long")
+    return phrases.select("lang", *(F.col(c).cast("binary").alias(c) for c in columns)).mapInArrow(key, "key long")
 
 
 def pair_keys(hashes: np.ndarray, follows: np.ndarray, seed: np.ndarray, words: Filter) -> tuple[np.ndarray, np.ndarray]:
     """The words that follow another in their piece, both being often enough, and their pairs' keys."""
     often = words(joined(hashes, seed))
     at = np.flatnonzero(follows[1:] & often[1:] & often[:-1]) + 1
-    return at, joined(joined(hashes[at - 1], hashes[at]), seed[at])
+    return at, chained([hashes[at - 1], hashes[at]], seed[at])
 
 
 def count_pairs(texts: DataFrame, words, least: int) -> DataFrame:
@@ -289,19 +299,51 @@ def find_runs(texts: DataFrame, words, pairs) -> DataFrame:
     return found.groupBy("lang", F.col("run").cast("string").alias("run")).agg(F.sum("m").alias("m"))
 
 
-W = ["w1", "w2", "w3", "w4"]
+def counted(runs: DataFrame, size: int, least: int, opened=None) -> DataFrame:
+    """(lang, w1.., a): phrases of that many words in the runs with at least so many occurrences;
+    with a filter only those of which the words but the last one may be in it."""
+    types = {"lang": pa.string(), "phrase": pa.binary(), "m": pa.int64()}
 
+    def count(batches):
+        passes = None if opened is None else Filter.read(opened)
+        held: dict[tuple[str, bytes], int] = {}
 
-def grams(runs: DataFrame, size: int) -> DataFrame:
-    """(lang, w1.., m): every place of that many words in the runs."""
-    listed = runs.select("lang", "m", F.split("run", " ").alias("w")).where(F.size("w") >= size)
-    places = F.transform(F.sequence(F.lit(0), F.size("w") - size),
-                         lambda i: F.struct(*(F.get("w", i + k).alias(W[k]) for k in range(size))))
-    return listed.select("lang", "m", F.explode(places).alias("p")).select("lang", "m", "p.*")
+        def emit():
+            return batch({"lang": [k[0] for k in held], "phrase": [k[1] for k in held], "m": list(held.values())}, types)
 
+        for b in batches:
+            times = b.column(2).to_numpy()
+            done = 0
+            for names, which, data, offsets in blocks([b.select([0, 1])]):
+                hashes, starts, ends, _ = words_of(data, offsets)
+                of = np.searchsorted(offsets, starts, "right") - 1
+                n = len(starts) - size + 1
+                if n > 0:
+                    at = np.flatnonzero(of[:n] == of[size - 1:])
+                    seed = seeds(names)[which]
+                    if passes is not None:
+                        at = at[passes(chained([hashes[at + k] for k in range(size - 1)], seed[of[at]]))]
+                    keys = chained([hashes[at + k] for k in range(size)], seed[of[at]])
+                    _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+                    total = np.zeros(len(first), np.int64)
+                    np.add.at(total, back, times[done + of[at]])
+                    raw, at = data.tobytes(), at[first]
+                    for lang, s, e, m in zip(which[of[at]].tolist(), starts[at].tolist(),
+                                             ends[at + size - 1].tolist(), total.tolist()):
+                        key = (names[lang], raw[s:e])
+                        held[key] = held.get(key, 0) + m
+                done += len(offsets) - 1
+                if len(held) > HELD // 8:
+                    yield emit()
+                    held = {}
+        if held:
+            yield emit()
 
-def counted(places: DataFrame, size: int, least: int) -> DataFrame:
-    return places.groupBy("lang", *W[:size]).agg(F.sum("m").alias("a")).where(F.col("a") >= least)
+    found = runs.select("lang", F.col("run").cast("binary"), "m").mapInArrow(count, "lang string, phrase binary, m long")
+    found = found.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("m").alias("a")).where(
+        F.col("a") >= least)
+    words = F.split("phrase", " ")
+    return found.select("lang", *(words[k].alias(W[k]) for k in range(size)), "a")
 
 
 def ratio(a: Column, below: Column) -> Column:
@@ -399,13 +441,13 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     every = stored(count_words(texts), "words")
     sizes = stored(every.groupBy("lang").agg(F.sum("f").alias("n")), "sizes")
     words = stored(every.where(F.col("f") >= least), "often")
-    often = Filter.shipped(word_keys(words))
+    often = Filter.shipped(phrase_keys(words, ["word"]))
     pairs = Filter.shipped(stored(count_pairs(texts, often, least), "pairs"))
     runs = stored(find_runs(texts, often, pairs), "runs")
 
-    two = stored(rated(counted(grams(runs, 2), 2, least), 2, words, None, None), "two")
-    three = stored(rated(counted(grams(runs.limit(0), 3), 3, least), 3, words, two, None), "three")
-    four = stored(rated(counted(grams(runs.limit(0), 4), 4, least), 4, words, two, three), "four")
+    two = stored(rated(counted(runs, 2, least), 2, words, None, None), "two")
+    three = stored(rated(counted(runs.limit(0), 3, least), 3, words, two, None), "three")
+    four = stored(rated(counted(runs.limit(0), 4, least), 4, words, two, three), "four")
     open2, open3 = two.select("lang", "w1", "w2").limit(0), three.select("lang", *W[:3]).limit(0)
     settled = two.select("lang", F.col("score").alias("least")).limit(0)
     taken = 2 * top
@@ -424,7 +466,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
             """The table with the continuations of the wanted phrases that were not opened before."""
             part = ["lang", *W[:size - 1]]
             new = stored(wanted.select(*part).distinct().join(opened, part, "left_anti"), "open")
-            more = counted(grams(runs, size).join(new, part, "left_semi"), size, least)
+            opening = Filter.shipped(phrase_keys(new, part[1:]))
+            more = counted(runs, size, least, opening).join(new, part, "left_semi")
             known = table.unionByName(rated(stored(more, "more"), size, words, two,
                                             three if size > 3 else None))
             return stored(opened.unionByName(new), "opened"), stored(known, f"known{size}")

@@ -78,8 +78,8 @@ def test_update_delete_truncate(spark, table):
 
 def test_replayed_commit_is_one_commit(spark, table):
     before = rows(table.snapshot())
-    table.upsert(frame(spark, C2), "c2")
-    table.delete_keys(spark.createDataFrame([(9,)], "id int"), "c3")
+    table.upsert(frame(spark, C2), commits.OfBatch("c2"))
+    table.delete_keys(spark.createDataFrame([(9,)], "id int"), commits.OfBatch("c3"))
     assert rows(table.snapshot()) == before
 
 
@@ -212,3 +212,66 @@ def test_create_opens_and_refuses_another_spec(spark, tmp_path):
     assert KeyedTable.create(spark, path, shape, TableSpec(("id",))).snapshot().count() == 1
     with pytest.raises(ValueError, match="another"):
         KeyedTable.create(spark, path, shape, TableSpec(("id",), kind="cow"))
+
+
+ROW = "id int, v int, ts int"
+
+
+def keyed(spark, tmp_path, name="t"):
+    schema = spark.createDataFrame([], ROW).schema
+    return KeyedTable.create(spark, str(tmp_path / name), schema, TableSpec(("id",), ("ts",)))
+
+
+def test_used_commit_ids_are_refused(spark, tmp_path):
+    t = keyed(spark, tmp_path)
+    one, two = (spark.createDataFrame([(i, i, 1)], ROW) for i in (1, 2))
+    t.insert(one, "c1")
+    for again in (t.insert, t.upsert, t.delete_keys, t.patch):
+        with pytest.raises(ValueError):
+            again(two, "c1")
+    t.upsert(two, "c2")
+    with pytest.raises(ValueError):
+        t.upsert(two, "c1")
+    t.delete_keys(one, "c3")
+    with pytest.raises(ValueError):
+        t.delete_keys(two, "c3")
+    assert rows(t.snapshot(), "id") == [(2,)]
+
+
+def test_a_partitioned_commit_is_seen_whatever_the_session_overwrites(spark, tmp_path):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        schema = spark.createDataFrame([], ROW).schema
+        t = KeyedTable.create(spark, str(tmp_path / "p"), schema, TableSpec(("id",), ("ts",), ("v",)))
+        t.insert(spark.createDataFrame([(1, 1, 1)], ROW), "c1")
+        assert t.snapshot().count() == 1
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_loading_history_leaves_unfinished_commits_alone(spark, tmp_path):
+    t = keyed(spark, tmp_path)
+    half = spark.createDataFrame([(9, 9, 9, "c")], f"{ROW}, op string").write
+    half.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{t.log}/commit_time=c0")
+    t.load_history(spark.createDataFrame([(1, 1, 1, "c1")], f"{ROW}, c string"), "c")
+    assert rows(t.snapshot(), "id") == [(1,)]
+
+
+def test_compacting_nothing(spark, tmp_path):
+    assert keyed(spark, tmp_path).compact() == ""
+
+
+def test_images_are_what_a_stretch_of_commits_changed(spark, tmp_path):
+    t = keyed(spark, tmp_path)
+    frame = lambda *r: spark.createDataFrame(list(r), ROW)
+    t.upsert(frame((1, 1, 1), (2, 2, 5), (3, 3, 1)), "c1")
+    t.upsert(frame((1, 10, 2), (2, 20, 4), (4, 4, 1)), "c2")  # (2, 20) is late and changes nothing
+    t.delete_keys(frame((3, 0, 0)), "c3")
+    got = rows(t.images("c1", "c3").selectExpr("id", "old.v as old", "new.v as new"))
+    assert got == sorted([(1, 1, 10), (3, 3, None), (4, None, 4)], key=repr)
+    assert rows(t.images("", "c1").selectExpr("id", "old.v as old", "new.v as new")) == sorted(
+        [(1, None, 1), (2, None, 2), (3, None, 3)], key=repr)
+    t.truncate("c4")
+    assert rows(t.images("c3", "c4").selectExpr("id", "old.v as old", "new.v as new")) == sorted(
+        [(1, 10, None), (2, 2, None), (4, 4, None)], key=repr)

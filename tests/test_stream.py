@@ -254,3 +254,48 @@ def test_jobs(spark, tmp_path, landed, monkeypatch):
     assert rows(t.snapshot(), "id", "name") == want
     with pytest.raises(SystemExit):
         jobs.arguments(["apply", "-d", "test"])
+
+
+def test_figures_follow_updates_late_events_and_deletes(spark, tmp_path):
+    cols = "id int, g string, v double, ts int"
+    make = lambda name, ddl, *spec: KeyedTable.create(
+        spark, str(tmp_path / name), spark.createDataFrame([], ddl).schema, TableSpec(*spec))
+    ods = make("ods", cols, ("id",), ("ts",))
+    dw = make("dw", "g string, cnt long, total double", ("g",))
+
+    def follow():
+        apply.finish(apply.follow_aggregate(
+            ods, dw, str(tmp_path / "cp"), {"g": F.col("g")}, F.col("v"), F.col("v") > 1, commits_per_trigger=1))
+
+    def want():
+        return rows(ods.snapshot().where("v > 1").groupBy("g").agg(F.count("*").alias("cnt"), F.sum("v").alias("total")))
+
+    steps = [
+        [(1, "a", 2.0, 1), (2, "a", 3.0, 5), (3, "b", 4.0, 1)], [(1, "b", 2.0, 2), (2, "a", 9.0, 4)],
+        [(3, "b", 1.0, 2)], [(2, "c", 5.0, 6), (1, "b", 0.5, 3)],
+    ]
+    for n, step in enumerate(steps):
+        ods.upsert(spark.createDataFrame(step, cols), f"c{n}")
+        if n != 1:  # two commits wait for one run
+            follow()
+            assert rows(dw.snapshot(), "g", "cnt", "total") == want()
+    follow()  # nothing new
+    ods.delete_keys(spark.createDataFrame([(2,)], "id int"), "c8")
+    follow()
+    assert rows(dw.snapshot(), "g", "cnt", "total") == want() == []
+
+
+def test_followers_see_complete_commits_once(spark, tmp_path):
+    t = KeyedTable.create(spark, str(tmp_path / "t"), spark.createDataFrame([], "id int").schema, TableSpec(("id",)))
+    seen = []
+    each = lambda batch, n: seen.extend((r.commit_time, r.id) for r in batch.collect())
+    follow = lambda: apply.finish(apply.follow_changes(t, each, str(tmp_path / "cp"), "c1"))
+    for c in ("c0", "c1"):
+        t.upsert(spark.createDataFrame([(1,)], "id int"), c)
+    half = spark.createDataFrame([(9, "u")], "id int, op string").write
+    half.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{t.log}/commit_time=c15")
+    follow()
+    t.upsert(spark.createDataFrame([(2,), (3,)], "id int"), "c2")
+    follow()
+    follow()
+    assert sorted(seen) == [("c1", 1), ("c2", 2), ("c2", 3)]

@@ -161,6 +161,21 @@ def app_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(t.snapshot().select(*IMAGE.names), "ts")
 
 
+@query("app_stream_reason_column", feed_sql(""", ranked as (
+  select *, row_number() over (partition by id order by ts desc, pos desc) as rn from feed)
+select id, data as reason, pos from ranked where rn = 1 and op <> 'd'"""))
+def app_stream_reason_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream into a table with a column named like one of the library's own."""
+    root = scratch(spark, "reason-column")
+    events = feed(spark, sf).select("id", F.col("data").alias("reason"), "ts", "pos", "op")
+    events.repartition(3).write.parquet(f"{root}/in")
+    kinds = events.schema
+    t = KeyedTable.create(spark, f"{root}/table", events.drop("op").schema, TableSpec(("id",), ("ts", "pos")))
+    stream = spark.readStream.schema(kinds).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    finish(stream_upsert(stream, t, f"{root}/checkpoint"))
+    return t.snapshot().select("id", "reason", "pos")
+
+
 @query("cdc_bad_events", feed_sql("""select
   case when pos % 101 = 0 then 'op' else 'key' end as reason, count(*) as n
 from feed where pos % 101 = 0 or pos % 103 = 0 group by all"""))

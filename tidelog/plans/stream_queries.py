@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.images import image_map
@@ -18,7 +18,7 @@ from tidelog.session import scratch
 from tidelog.sources.feed import decode, read_feed, typed_changes
 from tidelog.streaming import live
 from tidelog.streaming.apply import (
-    fan_out, finish, land_batch, land_log, read_log, run_batches, stream_upsert, target_schema,
+    fan_out, finish, follow_aggregate, land_batch, land_log, read_log, run_batches, stream_upsert, target_schema,
 )
 from tidelog.tables import commits
 from tidelog.tables.keyed import KeyedTable
@@ -129,26 +129,53 @@ def st_running_metric(spark: SparkSession, sf: str) -> DataFrame:
     return t.snapshot().select("dimension", F.round("metric", 2).alias("metric"))
 
 
-@query("st_ods_to_dw", env_sql("""select dt, count(*) as cnt,
-  round(sum(coalesce(value, 0)), 2) as total from env group by dt"""))
-def st_ods_to_dw(spark: SparkSession, sf: str) -> DataFrame:
-    """Feed to a keyed table by one query, its changes to daily figures by another."""
-    root = scratch(spark, "ods-dw")
+RANKED = """, ranked as (
+  select *, row_number() over (
+    partition by id order by ts_ms desc, file desc, pos desc, row_no desc) as rn from env)"""
+DAY = F.substring(F.col("ts").cast("string"), 1, 10)
+
+
+def ods_and_figures(spark: SparkSession, sf: str, root: str, where: Column | None = None) -> KeyedTable:
+    """A feed to a keyed table, and figures of its current rows per day to another one, in turns:
+    the second query goes on behind the commits it has seen."""
     ods = state_table(spark, f"{root}/ods")
-    changes = typed_changes(feed_stream(spark, sf), IMAGE)
-    finish(stream_upsert(changes, ods, f"{root}/checkpoint-ods"))
-    daily = (
-        ods.stream_changes()
-        .groupBy(F.substring(F.col("ts").cast("string"), 1, 10).alias("dt"))
-        .agg(F.count("*").alias("cnt"), F.sum(F.coalesce("value", F.lit(0.0))).alias("total"))
-    )
     dw = KeyedTable.create(
         spark, f"{root}/dw", schema(dt=STRING, cnt=LONG, total=DOUBLE), TableSpec(("dt",))
     )
-    finish(stream_upsert(daily, dw, f"{root}/checkpoint-dw", mode="update"))
+    changes = typed_changes(feed_stream(spark, sf), IMAGE)
+    for step in range(2):
+        if step:
+            finish(stream_upsert(changes, ods, f"{root}/checkpoint-ods"))
+        finish(follow_aggregate(ods, dw, f"{root}/checkpoint-dw", {"dt": DAY}, F.col("value"), where,
+                                commits_per_trigger=1))
+    return dw
+
+
+@query("st_ods_to_dw", env_sql(f"""{RANKED}
+select dt, count(*) as cnt, round(sum(coalesce(value, 0)), 2) as total
+from ranked where rn = 1 and op <> 'd' group by dt"""))
+def st_ods_to_dw(spark: SparkSession, sf: str) -> DataFrame:
+    """Feed to a keyed table by one query, its current rows to daily figures by another."""
+    dw = ods_and_figures(spark, sf, scratch(spark, "ods-dw"))
     return dw.snapshot().select("dt", "cnt", F.round("total", 2).alias("total"))
 
 
+@query("st_metric_today", env_sql(f"""{RANKED},
+figures as (
+  select dt, count(*) as cnt, round(sum(coalesce(value, 0)), 2) as total
+  from ranked where rn = 1 and op <> 'd' and data in ('click', 'purchase') group by dt)
+select 'total_amount' as dimension, dt, cnt, total from figures where dt = (select max(dt) from figures)"""))
+def st_metric_today(spark: SparkSession, sf: str) -> DataFrame:
+    """Sum over the rows that satisfy a filter now, of the newest day. Rows go out as they are
+    updated across the filter or deleted; kept per day, it turns with the day by itself."""
+    dw = ods_and_figures(spark, sf, scratch(spark, "metric-today"), F.col("data").isin("click", "purchase"))
+    days = dw.snapshot()
+    newest = days.agg(F.max("dt").alias("dt"))
+    return days.join(newest, "dt").select(
+        F.lit("total_amount").alias("dimension"), "dt", "cnt", F.round("total", 2).alias("total")
+    )
+
+
 @query("st_replay_idempotent", env_sql("select op, count(*) as n from env group by op"))
 def st_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """Every batch is written twice, and the whole stream once more without its checkpoint."""

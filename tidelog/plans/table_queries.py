@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.plans.inputs import (
-    FEED_ORDER, drain, feed, feed_sql, feed_table, history, ntz, state_sql,
+    FEED_ORDER, feed, feed_sql, feed_table, history, ntz, state_sql,
 )
 from tidelog.plans.registry import query
 from tidelog.schemas import DOUBLE, LONG, STRING, TIMESTAMP, TableSpec, schema
 from tidelog.session import scratch
+from tidelog.streaming.apply import finish, follow_changes
 from tidelog.tables.keyed import KeyedTable
 
 COLUMNS = ("id", "value", "data", "props", "ts", "dt", "pos")
@@ -46,22 +47,47 @@ def tbl_commits(spark: SparkSession, sf: str) -> DataFrame:
     return history(spark, sf).commits().limit(2)
 
 
+def followed(spark: SparkSession, sf: str, label: str, from_commit: str = "") -> DataFrame:
+    """All changes a stream reads from a table, in two runs, while a commit is half written."""
+    t, root = history(spark, sf), scratch(spark, label)
+    half = t.versions().drop("commit_time").write.mode("overwrite")
+    half = half.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    half.parquet(f"{t.log}/commit_time=2024-01-15x")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        found = batch.withColumnRenamed("commit_time", "written").select("id", "pos", "op", "written")
+        found.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    for _ in range(2):  # the second run goes on behind the first: nothing comes again
+        finish(follow_changes(t, each, f"{root}/checkpoint", from_commit, commits_per_trigger=10))
+    return spark.read.parquet(f"{root}/out").select("id", "pos", "op", F.col("written").alias("commit_time"))
+
+
 @query("tbl_stream_read", feed_sql("select id, pos, op, dt as commit_time from feed"))
 def tbl_stream_read(spark: SparkSession, sf: str) -> DataFrame:
-    changes = history(spark, sf).stream_changes().withColumnRenamed("commit_time", "written")
-    return drain(changes.select("id", "pos", "op", "written"), "stream-read").withColumnRenamed(
-        "written", "commit_time"
-    )
+    return followed(spark, sf, "stream-read")
 
 
 @query("tbl_stream_from_commit", feed_sql(
     "select id, pos, op, dt as commit_time from feed where dt >= '2024-01-20'"))
 def tbl_stream_from_commit(spark: SparkSession, sf: str) -> DataFrame:
-    changes = history(spark, sf).stream_changes("2024-01-20")
-    changes = changes.withColumnRenamed("commit_time", "written")
-    return drain(changes.select("id", "pos", "op", "written"), "stream-from").withColumnRenamed(
-        "written", "commit_time"
-    )
+    return followed(spark, sf, "stream-from", "2024-01-20")
+
+
+@query("app_reused_commit", feed_sql(""", ranked as (
+  select *, row_number() over (partition by id order by ts desc, pos desc) as rn from feed)
+select id, pos, true as refused from ranked where rn = 1 and op <> 'd'"""))
+def app_reused_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """Every write under an id that was used is refused, and nothing of the table changes."""
+    t, events, refused = feed_table(spark, "reused"), feed(spark, sf), True
+    t.upsert(events, "c1")
+    for write in (t.insert, t.upsert, t.delete_keys, t.patch):
+        try:
+            write(events, "c1")
+            refused = False
+        except ValueError:
+            pass
+    return t.snapshot().select("id", "pos", F.lit(refused).alias("refused"))
 
 
 @query("app_compact", state_sql(COLUMNS_SQL))

@@ -9,8 +9,9 @@ another feed or after a checkpoint was lost, is told by its id.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,10 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelog.operators.changes import latest_per_key, reason_not_applied
 from tidelog.schemas import EVENT_ORDER, LOG, TableSpec, lookup
 from tidelog.sources.feed import select_table, typed_changes
+from tidelog.streaming import live
 from tidelog.tables import commits
 from tidelog.tables.keyed import KeyedTable
 
 Batch = Callable[[DataFrame, int], None]
+WHY = "__not_applied"  # beside the columns of any table: the spec refuses such a name
 COMMIT_FIELD = T.StructField("commit_time", T.StringType())
 
 
@@ -100,14 +103,15 @@ def stream_log(spark: SparkSession, path: str, files_per_trigger: int | None = N
 
 def upsert_changes(changes: DataFrame, table: KeyedTable, commit: str, kept: str = "*") -> None:
     """Apply the change events that can be applied. The others, with `reason`, go to the table's
-    log of bad events under the same commit; of them the columns `kept` are written."""
-    marked = changes.withColumn("reason", reason_not_applied(table.spec.keys)).persist()
+    log of bad events under the same commit; of them the columns `kept` are written. A `reason` of
+    the event itself is `event_reason` there."""
+    marked = changes.withColumn(WHY, reason_not_applied(table.spec.keys)).persist()
     try:
-        bad = marked.where("reason is not null")
+        bad = marked.where(F.col(WHY).isNotNull())
         if not bad.isEmpty():
-            columns = ["*"] if kept == "*" else [kept, "reason"]
-            commits.write(bad.select(*columns), bad_log(table), commit)
-        table.upsert(marked.where("reason is null"), commit)
+            bad = bad.select(kept, *([] if kept == "*" else [WHY])).withColumnsRenamed({"reason": "event_reason"})
+            commits.write(bad.withColumnRenamed(WHY, "reason"), bad_log(table), commit)
+        table.upsert(marked.where(F.col(WHY).isNull()).drop(WHY), commit)
     finally:
         marked.unpersist()
 
@@ -150,6 +154,75 @@ def stream_upsert(
     return run_batches(stream, upsert_batch(table), checkpoint, interval, mode)
 
 
+def follow(
+    table: KeyedTable, each: Callable[[Sequence[str], DataFrame, int], None], checkpoint: str,
+    interval: str | None = None, commits_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Hand the complete commits of a table, each once and in their order, to `each` as (commit ids,
+    batch, batch id). The offsets are commits: a commit that is being written is not told yet, and a
+    restart goes on behind the last one that was handled. A writer, or this function when it is
+    called, tells what is complete."""
+    reader = table.spark.readStream.schema("commit string")
+    if commits_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", commits_per_trigger)
+    told = reader.text(table.publish())
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        ids = sorted(r["commit"] for r in batch.collect())  # one short row per commit
+        if ids:
+            each(ids, batch, batch_id)
+
+    return run_batches(told, handle, checkpoint, interval)
+
+
+def follow_changes(
+    table: KeyedTable, each: Batch, checkpoint: str, from_commit: str = "", **options
+) -> StreamingQuery:
+    """The rows of complete commits from one on, with `op` and the commit, batch by batch."""
+    def handle(ids: Sequence[str], _, batch_id: int) -> None:
+        done = set(commits.complete(table.spark, table.log))
+        each(commits.read(table.spark, table.log, [c for c in ids if c in done and c >= from_commit],
+                          table._stored()), batch_id)
+
+    return follow(table, handle, checkpoint, **options)
+
+
+def follow_aggregate(
+    source: KeyedTable, target: KeyedTable, checkpoint: str, groups: dict[str, Column],
+    value: Column, where: Column | None = None, **options,
+) -> StreamingQuery:
+    """Keep `cnt` and `total` of the current rows of a keyed table per group in a target keyed by
+    the groups. Each batch takes the rows its commits replaced out and puts the new ones in, so
+    updates, late events, deletes and rows that come to satisfy or leave `where` are right; a group
+    without rows is deleted. State is the target, one row per group."""
+    names = list(groups)
+
+    def handle(ids: Sequence[str], batch: DataFrame, batch_id: int) -> None:
+        commit = target.stream_commit(batch, batch_id)
+        if commits.is_complete(target.spark, target.log, commit):
+            return
+        # Stretches of the timeline without a gap: what they changed adds up, whatever their order.
+        line = sorted({c for c, _ in source.commit_ids()})
+        known, parts = set(ids), []
+        for at, c in enumerate(line):
+            if c in known and (at == 0 or line[at - 1] not in known):
+                parts.append([line[at - 1] if at else "", c])
+            elif c in known:
+                parts[-1][1] = c
+        images = reduce(DataFrame.unionByName, [source.images(*p) for p in parts])
+        delta = live.retracted(images, groups, value, where).persist()
+        held = target.as_of(target.last_commit()).select(*names, "cnt", "total").join(
+            delta.select(*names), names, "left_semi")
+        both = delta.unionByName(held).groupBy(*names).agg(F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
+        table_op = F.when(F.col("cnt") == 0, "d").otherwise("u")
+        try:
+            target.upsert(both.withColumn("op", table_op), commit)
+        finally:
+            delta.unpersist()
+
+    return follow(source, handle, checkpoint, **options)
+
+
 def target_schema(schema: T.StructType) -> T.StructType:
     """Target columns plus the event order the rows are ranked by."""
     out = T.StructType(list(schema.fields))

@@ -28,6 +28,21 @@ def running_metric(
     return changes.groupBy(dim.alias("dimension")).agg(F.sum(delta).alias(name))
 
 
+def retracted(
+    images: DataFrame, groups: dict[str, Column], value: Column, where: Column | None = None
+) -> DataFrame:
+    """What changed rows (`old` and `new`, see KeyedTable.images) add to `cnt` and `total` of each
+    group: the new row counts where it satisfies the condition, less the old one where it did."""
+    def side(name: str, sign: int) -> DataFrame:
+        rows = images.where(F.col(name).isNotNull()).select(f"{name}.*")
+        rows = rows if where is None else rows.where(where)
+        return rows.select(*(c.alias(n) for n, c in groups.items()), F.lit(sign).cast("long").alias("cnt"),
+                           (sign * F.coalesce(value, F.lit(0.0))).alias("total"))
+
+    return side("old", -1).unionByName(side("new", 1)).groupBy(*groups).agg(
+        F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
+
+
 def tumbling(
     df: DataFrame, time: str, size: str, keys: Sequence[str], *aggregates: Column
 ) -> DataFrame:

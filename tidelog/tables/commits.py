@@ -14,9 +14,13 @@ SUCCESS = "_SUCCESS"
 _ID = re.compile(r"[0-9A-Za-z_-]+")
 
 
+class OfBatch(str):
+    """The commit id of a micro-batch. Only such an id may come twice: the batch runs again."""
+
+
 def commit_id(batch_id: int) -> str:
     """Sortable commit of a micro-batch: a replayed batch gets the commit it had before."""
-    return f"{batch_id:017d}"
+    return OfBatch(f"{batch_id:017d}")
 
 
 def query_of(batch: DataFrame) -> str:
@@ -67,6 +71,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, but for hidden ones."""
+    return sorted(p.getName() for p in _glob(spark, f"{path}/*") if p.getName()[0] not in "._")
+
+
 def is_complete(spark: SparkSession, root: str, commit: str, label: str = "commit_time") -> bool:
     return exists(spark, f"{root}/{label}={commit}/{SUCCESS}")
 
@@ -98,7 +107,8 @@ def write(
         raise ValueError(f"commit id {commit!r} must be letters, digits, '-' or '_'")
     if is_complete(df.sparkSession, root, commit, label):
         return False
-    writer = df.drop(label).write.mode("overwrite")
+    # Of this commit all partitions are written, whatever the session overwrites by default.
+    writer = df.drop(label).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root}/{label}={commit}")
@@ -114,6 +124,7 @@ def write_history(
     that holds much of the data. Commits become visible together, once the job is done.
     """
     spark = df.sparkSession
+    own = [r[0] for r in df.select(commit).distinct().collect()]  # names of commits: few
     (
         df.withColumnRenamed(commit, "commit_time")
         .hint("rebalance", "commit_time", *partition_by)
@@ -122,8 +133,8 @@ def write_history(
         .partitionBy("commit_time", *partition_by)
         .parquet(root)
     )
-    for d in _glob(spark, f"{root}/commit_time=*"):
-        fs, mark = _path(spark, f"{d.toString()}/{SUCCESS}")
+    for name in sorted(own):
+        fs, mark = _path(spark, f"{root}/commit_time={name}/{SUCCESS}")
         if not fs.exists(mark):
             fs.create(mark, True).close()
 

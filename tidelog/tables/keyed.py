@@ -66,6 +66,8 @@ class KeyedTable:
                 raise ValueError(f"column {c!r} is not in the table")
         if {"op", COMMIT} & set(schema.names):
             raise ValueError(f"'op' and '{COMMIT}' are added by the table itself")
+        if any(c.startswith("__") for c in schema.names):
+            raise ValueError("names that begin with '__' are the library's own")
         if len(set(schema.names)) != len(schema.names):
             raise ValueError("a column is declared twice")
         saved = {"schema": json.loads(schema.json()), "spec": spec.to_dict()}
@@ -118,8 +120,9 @@ class KeyedTable:
         return commit
 
     def upsert(self, df: DataFrame, commit: str | None = None) -> str:
-        """Apply rows, or change events if `df` has an `op` column."""
-        if commit is not None and commits.is_complete(self.spark, self.log, commit):
+        """Apply rows, or change events if `df` has an `op` column. The commit of a micro-batch
+        that is done is left as it is; any other id that was used is refused."""
+        if isinstance(commit, commits.OfBatch) and commits.is_complete(self.spark, self.log, commit):
             return commit
         commit = self._allot(commit)
         self._write(self._rows(df, "u"), commit)
@@ -171,13 +174,14 @@ class KeyedTable:
         return commit
 
     def _allot(self, commit: str | None) -> str:
-        """The id of a new commit: later than all others. A given id may be the last one's, which
-        is that commit written again; an earlier one would be hidden or hide, and is refused."""
+        """The id of a new commit: later than all others. An id that was used would lose its rows,
+        and an earlier one would be hidden or hide: both are refused. Only a micro-batch's commit
+        may be the last one, which is that batch running again."""
         last = self.last_commit()
         if commit is None:
             return max(commits.clock_commit(), commits.following(last)) if last.isdigit() or not last \
                 else commits.following(last)
-        if commit < last:
+        if commit < last or commit == last and not isinstance(commit, commits.OfBatch):
             raise ValueError(f"commit {commit!r} is not later than {last!r}")
         return commit
 
@@ -187,10 +191,10 @@ class KeyedTable:
         token = f"{self.path}/tokens/{commits.query_of(batch)}-{batch_id}"
         last = self.last_commit()
         if commits.exists(self.spark, token):
-            commit = self.spark.read.text(token).first()["value"]
+            commit = commits.OfBatch(self.spark.read.text(token).first()["value"])
             if commit > last or (commit, "log") in self.commit_ids():
                 return commit
-        commit = commits.following(last)
+        commit = commits.OfBatch(commits.following(last))
         commits.write_text(self.spark, token, commit)
         return commit
 
@@ -223,6 +227,16 @@ class KeyedTable:
     def last_commit(self) -> str:
         return max((c for c, _ in self.commit_ids()), default="")
 
+    def publish(self) -> str:
+        """The folder with one small file per complete commit, for streams that follow the table.
+        Those not told yet are told now, in their order."""
+        told = f"{self.path}/told"
+        commits.make_dir(self.spark, told)
+        known = set(commits.names(self.spark, told))
+        for c in sorted({c for c, _ in self.commit_ids()} - known):
+            commits.write_text(self.spark, f"{told}/{c}", c)
+        return told
+
     # -- reading ---------------------------------------------------------------------------
 
     def snapshot(self) -> DataFrame:
@@ -300,13 +314,18 @@ class MergeOnRead(KeyedTable):
         rows = commits.read(self.spark, root, found[-1:], schema, "upto").drop("upto")
         return found[-1], rows
 
-    def _state(self, instant: str | None) -> DataFrame:
+    def _state(self, instant: str | None, only: DataFrame | None = None) -> DataFrame:
+        """The row of each key as of a commit, hidden ones included; `only` of some keys."""
         spec = self.spec
         upto, base = self._base(instant)
         kinds = ("log", "deletes")
+        if base is not None and only is not None:
+            base = base.join(only, list(spec.keys), "left_semi")
         if base is not None and not any(self._between(k, upto, instant) for k in kinds):
             return base
         rows, deletes = self._changes(upto, instant)
+        if only is not None:
+            rows = rows.join(only, list(spec.keys), "left_semi")
         if base is None:
             return resolve(rows, spec.keys, spec.order_by, deletes)
         # Only keys the log touches since the base are ranked again. Untouched base rows pass
@@ -321,6 +340,33 @@ class MergeOnRead(KeyedTable):
             resolve(again, keys, spec.order_by, deletes)
         )
 
+    def images(self, after: str, upto: str) -> DataFrame:
+        """What the commits (after, upto] changed: the keys, and the row before (`old`) and behind
+        (`new`) as structs of the table's columns; null where there was or is none.
+
+        Only rows of touched keys are ranked; a truncation touches all rows there were.
+        """
+        keys = list(self.spec.keys)
+        rows, deletes = self._changes(after, upto)
+        touched = rows.select(*keys)
+        if deletes is not None:
+            touched = touched.unionByName(deletes.select(*keys))
+        before = self._state(after) if after else None
+        if before is not None and self._cut(upto) > after:
+            touched = touched.unionByName(before.select(*keys))
+        touched = touched.distinct()
+
+        def image(state, name):
+            row = F.struct(*(F.col(c).alias(c) for c in self.columns)).alias(name)
+            return state.where("op <> 'd'").join(touched, keys, "left_semi").select(*keys, row)
+
+        new = image(self._state(upto, touched), "new")
+        if before is None:
+            kind = new.schema["new"].dataType
+            return new.select(*keys, F.lit(None).cast(kind).alias("old"), "new")
+        old = image(self._state(after, touched), "old")
+        return old.join(new, keys, "full").select(*keys, "old", "new").where("not (old <=> new)")
+
     def bulk_insert(self, df: DataFrame, commit: str | None = None) -> str:
         """Append rows as they come, each a version of its own in `versions`."""
         return self.insert(df, commit)
@@ -354,6 +400,8 @@ class MergeOnRead(KeyedTable):
         without them an older event that comes late would bring the key back. Deletes by key
         need not stay, since every later commit outlives them anyway. The log is kept."""
         upto = self.last_commit()
+        if not upto:
+            return upto
         state = self._state(upto)
         if self.spec.partition_by:
             state = state.hint("rebalance", *self.spec.partition_by)

@@ -82,7 +82,7 @@ def test_plan_is_best(sizes, best):
     assert sum(n for n, _ in packing.plan(collections.Counter(sizes), 10)) == best
 
 
-ODD = ["don't", "'RE're", "..'s 23'll", "a  b \n c", "ßĲ ﬁ", "日本", "<|endoftext|>", "x\u0301y", "ª²½", "\x1c z", " ", "\n\n\n"]
+ODD = ["don't", "'RE're", "..'s 23'll", "a  b \n c", "ßĲ ﬁ", "日本", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "   ", "\t", "x\u0301y", "ª²½", "\x1c z", " ", "\n\n\n"]
 
 
 @pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
@@ -90,7 +90,9 @@ def test_cached_tokens_equal_the_library(name, kind):
     r = random.Random(4)
     listed = ["".join(r.choice(ODD + [" ", "Foo", "é", "7"]) for _ in range(r.randint(0, 25))) for _ in range(4000)]
     path = public_tokenizers.path(name)
-    assert tokens.Encoder(path, kind).encode(listed) == tokens.Encoder(path, None).encode(listed)
+    tool = Tokenizer.from_file(path)
+    want = [np.array(tool.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in listed]
+    assert tokens.Encoder(path, kind).encode(listed) == tokens.Encoder(path, None).encode(listed) == want
 
 
 TOKENS = [(None, None), (3, ""), (2, "Hello world don't <|endoftext|>"), (7, "x y " * 3000), (5, "日本 語"),
@@ -99,7 +101,6 @@ TOKENS = [(None, None), (3, ""), (2, "Hello world don't <|endoftext|>"), (7, "x
 
 def library(name, end):
     tool = Tokenizer.from_file(public_tokenizers.path(name))
-    tool.encode_special_tokens = True
     return lambda t: tool.encode(t or "", add_special_tokens=False).ids + [end]
 
 

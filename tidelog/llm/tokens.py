@@ -1,33 +1,55 @@
 """Token ids of whole texts by the tokenizers library, with a cache of words.
 
-A text of plain characters falls apart at places where the library's own rules always cut it too,
-whatever stands around; each distinct part is encoded by the library once per worker and looked up
-from then on. Any other text goes to the library as a whole.
+A text of plain characters falls apart at blanks, where the library's own rules always cut it too,
+whatever stands around; each distinct part is encoded by the library and looked up while the worker
+keeps it. Any other text, and one that may hold a special string, goes to the library as a whole, which
+treats both as it does by default.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 # Of these characters it is certain how they are normalised, lowered and told apart as white space.
 _ODD = re.compile("[^\t\n\r -~\xa1-\xac\xae-ɏ]")
+
 _L = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-ɏ"
 _U = r"A-Z\xc0-\xd6\xd8-\xde"
 _N = r"0-9\xb2\xb3\xb9\xbc-\xbe"
 _APOSTROPHE = "'(?:s|t|re|ve|m|ll|d)"
-_LOWER = re.compile(rf"{_APOSTROPHE}|[{_L}]+|[{_N}]|[^ \t\n\r{_L}{_N}]+")
-_PARTS = {
-    # Lower-cased words; white space is dropped.
-    "words": lambda text: _LOWER.findall(text.lower()),
-    # A blank goes with the word behind it; other white space stands alone, but for its last one.
-    "bytes": re.compile(rf"{_APOSTROPHE}| ?[{_L}{_U}]+| ?[{_N}]+| ?[^ \t\n\r{_L}{_U}{_N}]+"
-                        r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall,
+# Inside a part between blanks the libraries cut between letters, digits and all other characters.
+_CUT = {
+    "words": re.compile(rf"{_APOSTROPHE}|[{_L}]+|[{_N}]|[^ \t\n\r{_L}{_N}]+").findall,
+    "bytes": re.compile(rf"{_APOSTROPHE}| ?[{_L}{_U}]+| ?[{_N}]+| ?[^ \t\n\r{_L}{_U}{_N}]+|[ \t\n\r]+").findall,
 }
-_BETWEEN = {"words": " \x01 ", "bytes": "\n"}
-MOST_CACHED = 400_000  # parts a worker keeps; then it starts anew
+# Bytes as the models of both files write them: printable ones as they are, the others from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_WRITTEN = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
+
+
+def _words(text: str) -> list[str]:
+    """Lower-cased words; white space is dropped, and no token reaches over it."""
+    return text.lower().split()
+
+
+_PIECES = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall
+
+
+def _pieces(text: str) -> list[str]:
+    """A blank goes with the word behind it; other white space stands alone, but for its last one."""
+    if "\n" in text or "\t" in text or "\r" in text or "   " in text or text.endswith("  "):
+        return _PIECES(text)
+    return text.replace(" ", "\0 ").split("\0")
+
+
+_PARTS = {"words": _words, "bytes": _pieces}
+_TRIED = ["don't", "'RE23're", "..'s", "é9²", "\x7f!", "zzzqx", "a_b-c", "\x02"]
+MOST_KEPT = 250_000  # parts, and words, of one generation of a worker's cache; it holds two
+LONGEST_KEPT = 64  # characters of a part that is kept
 _loaded: dict[str, Encoder] = {}
 
 
@@ -40,19 +62,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
         self.parts = _PARTS[kind] if kind else None
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        # Texts with what may be a special string go to the library, which knows them.
+        special = os.path.commonprefix([t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
+        self.special = re.match("[^A-Za-z]*", special)[0]
+        self.any_special = bool(self.tokenizer.get_added_tokens_decoder())
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
         if kind:
-            self.between = _BETWEEN[kind]
-            self.mark = self.tokenizer.encode(self.between, add_special_tokens=False).ids[0]
+            self.cut, self.model = _CUT[kind], self.tokenizer.model
+            tried = [p for text in _TRIED for p in self.parts(text)]
+            self.learn(tried)
+            if [self.cache[p] for p in tried] != self.library(tried):
+                raise ValueError(f"the tokenizer does not cut texts like one of kind {kind!r}")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = [b""] * len(texts)
         split, whole = {}, []
         for i, text in enumerate(texts):
-            if self.parts is None or _ODD.search(text):
+            if self.parts is None or self.any_special and self.special in text or _ODD.search(text):
                 whole.append(i)
             else:
                 split[i] = self.parts(text)
@@ -60,15 +91,20 @@ class Encoder:
             for i, ids in zip(whole, self.library([texts[i] for i in whole])):
                 out[i] = ids
         if split:
-            if len(self.cache) > MOST_CACHED:
-                self.cache.clear()
             new = set()
             for parts in split.values():
                 new.update(parts)
+            new = [p for p in new if p not in self.cache]
+            self.cache.update((p, self.older[p]) for p in new if p in self.older)
             self.learn([p for p in new if p not in self.cache])
             look = self.cache.__getitem__
             for i, parts in split.items():
                 out[i] = b"".join(map(look, parts))
+            for p in new:
+                if len(p) > LONGEST_KEPT:
+                    del self.cache[p]
+            if len(self.cache) > MOST_KEPT:
+                self.older, self.cache = self.cache, {"": b""}
         return out
 
     def library(self, texts: list[str]) -> list[bytes]:
@@ -76,22 +112,23 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def learn(self, parts: list[str]) -> None:
-        """Encode new parts, many in one text with a mark between them that no part contains."""
-        plain = [p for p in parts if not p.isspace()]
-        blank = [p for p in parts if p.isspace()]
-        self.cache.update(zip(blank, self.library(blank)))
-        lines = [plain[i:i + 500] for i in range(0, len(plain), 500)]
-        found = self.tokenizer.encode_batch_fast(
-            [self.between.join(x) for x in lines], add_special_tokens=False)
-        for group, e in zip(lines, found):
-            ids = np.array(e.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(group) - 1:
-                self.cache.update(zip(group, self.library(group)))
-                continue
-            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
-            self.cache.update((p, raw[a:z]) for p, a, z in zip(
-                group, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]))
+        """Keep the ids of new parts, put together from those of their words."""
+        if len(self.words) > MOST_KEPT:
+            self.older_words, self.words = self.words, {}
+        words, older, cut = self.words, self.older_words, self.cut
+        for part in parts:
+            found = []
+            for word in cut(part):
+                ids = words.get(word)
+                if ids is None:
+                    ids = older.get(word)
+                    if ids is None:
+                        written = word.encode().decode("latin-1").translate(_WRITTEN)
+                        ids = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+                    if len(word) <= LONGEST_KEPT:
+                        words[word] = ids
+                found.append(ids)
+            self.cache[part] = b"".join(found)
 
 
 def encoder(path: str, kind: str | None) -> Encoder:
@@ -113,9 +150,3 @@ def encoded(bodies, path: str, kind: str | None, most: int = 1 << 20):
             held, size = [], 0
     if held:
         yield from tool.encode(held)
-
-
-def forget() -> None:
-    """Give back the memory of the cached parts; a worker outlives its task."""
-    for tool in _loaded.values():
-        tool.cache.clear()

@@ -1,6 +1,7 @@
 """Token counts at prefixes, repair of conversations, and collocations against brute force."""
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tidelog.llm import collocations, prefix_tokens, queries, repair
+from tidelog.llm import collocations, html_text, prefix_tokens, queries, repair
 
 SF = "/root/testdata/sf0.001"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -141,3 +142,32 @@ def test_scores_are_exact_beyond_64_bits(spark):
     got = spark.createDataFrame([(many, many + 1)], "a long, b long").select(
         collocations.ratio(F.col("a"), F.col("b")).alias("s")).first().s
     assert got == 2_000_000 * many // (many + 1)
+
+
+WORDS = "The committee met again on Tuesday and agreed on the plan for the coming year. " * 3
+
+
+@pytest.mark.parametrize("page,want", [
+    (f'<body><div class="content has-sidebar"><p>{WORDS}</p></div></body>', WORDS),
+    (f'<div class="post no-comments"><p>{WORDS}</p></div>', WORDS),
+    (f'<div id="page" class="search-enabled"><p>{WORDS}</p></div>', WORDS),
+    (f'<div class="widget"><p>{WORDS}</p></div>', WORDS),  # a name around all there is
+    (f'<article><header class="entry-header"><h1>A title</h1></header><p>{WORDS}</p></article>'
+     f'<div class="comments"><article class="comment"><p>{WORDS}</p></article></div>', f"A title\n{WORDS}"),
+    ("<h1>Note</h1><p>The meeting is at nine.</p>", "Note\nThe meeting is at nine."),
+    (f'<form id="f"><div id="main-nav"><a href=x>Home</a></div><p>{WORDS}</p>'
+     f'<div class="site-footer">(c) us</div></form>', WORDS),
+])
+def test_names_are_evidence(page, want):
+    assert html_text.main_text(page) == "\n".join(x.strip() for x in want.split("\n"))
+
+
+@pytest.mark.parametrize("page", [
+    '<a "' * 250_000, '<a "' * 250_000 + ">", "<div>" * 100_000 + "x", "<div><p>a b c" * 60_000,
+    "<div>" * 50_000 + "</p>" * 100_000, "<a '\"> " * 150_000, "<p " + "a" * 1_000_000 + ">x",
+    "<style><body>" * 80_000, "<" * 1_000_000, "<!" * 500_000,
+])
+def test_long_odd_pages_take_linear_time(page):
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 20  # quadratic ones took minutes

@@ -1,6 +1,6 @@
 """Token ids of whole texts by the tokenizers library, with a cache of words.
 
-A text of plain characters falls apart at blanks, where the library's own rules always cut it too,
+A text of plain characters falls apart at places where the library's own rules always cut it too,
 whatever stands around; each distinct part is encoded by the library and looked up while the worker
 keeps it. Any other text, and one that may hold a special string, goes to the library as a whole, which
 treats both as it does by default.
@@ -21,10 +21,10 @@ _L = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-ɏ"
 _U = r"A-Z\xc0-\xd6\xd8-\xde"
 _N = r"0-9\xb2\xb3\xb9\xbc-\xbe"
 _APOSTROPHE = "'(?:s|t|re|ve|m|ll|d)"
-# Inside a part between blanks the libraries cut between letters, digits and all other characters.
+# Inside a part between blanks the library cuts between letters, digits and all other characters.
 _CUT = {
     "words": re.compile(rf"{_APOSTROPHE}|[{_L}]+|[{_N}]|[^ \t\n\r{_L}{_N}]+").findall,
-    "bytes": re.compile(rf"{_APOSTROPHE}| ?[{_L}{_U}]+| ?[{_N}]+| ?[^ \t\n\r{_L}{_U}{_N}]+|[ \t\n\r]+").findall,
+    "bytes": lambda part: (part,),
 }
 # Bytes as the models of both files write them: printable ones as they are, the others from 256 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -36,19 +36,13 @@ def _words(text: str) -> list[str]:
     return text.lower().split()
 
 
-_PIECES = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall
+_PIECES = re.compile(rf"{_APOSTROPHE}| ?[{_L}{_U}]+| ?[{_N}]+| ?[^ \t\n\r{_L}{_U}{_N}]+"
+                     r"|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall
 
-
-def _pieces(text: str) -> list[str]:
-    """A blank goes with the word behind it; other white space stands alone, but for its last one."""
-    if "\n" in text or "\t" in text or "\r" in text or "   " in text or text.endswith("  "):
-        return _PIECES(text)
-    return text.replace(" ", "\0 ").split("\0")
-
-
-_PARTS = {"words": _words, "bytes": _pieces}
+# A blank goes with the word behind it; other white space stands alone, but for its last one.
+_PARTS = {"words": _words, "bytes": _PIECES}
 _TRIED = ["don't", "'RE23're", "..'s", "é9²", "\x7f!", "zzzqx", "a_b-c", "\x02"]
-MOST_KEPT = 250_000  # parts, and words, of one generation of a worker's cache; it holds two
+MOST_KEPT = 300_000  # parts, and words, of one generation of a worker's cache; it holds two
 LONGEST_KEPT = 64  # characters of a part that is kept
 _loaded: dict[str, Encoder] = {}
 
@@ -125,7 +119,7 @@ class Encoder:
                     if ids is None:
                         written = word.encode().decode("latin-1").translate(_WRITTEN)
                         ids = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-                    if len(word) <= LONGEST_KEPT:
+                    if len(word) <= LONGEST_KEPT and word is not part:
                         words[word] = ids
                 found.append(ids)
             self.cache[part] = b"".join(found)

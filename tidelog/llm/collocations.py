@@ -15,8 +15,9 @@ reach them: the language is settled. Else the threshold falls and the next round
 
 Counting starts with two scans of all texts that only narrow down: words with enough occurrences,
 then pairs of such words by a 64-bit hash, which can only count too much. A third scan keeps the runs
-of words whose pairs pass; every phrase that occurs often enough lies within them, and all counts that
-decide are taken from the runs as text. The filters between scans have a fixed size.
+of words whose pairs pass; every phrase that occurs often enough lies within them, and the counts that
+decide are taken from the runs: equal phrases of a block are told by their 64-bit hash, and blocks and
+tasks meet by text. The filters between scans have a fixed size.
 """
 
 from __future__ import annotations

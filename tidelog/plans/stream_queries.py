@@ -132,12 +132,12 @@ def st_running_metric(spark: SparkSession, sf: str) -> DataFrame:
 RANKED = """, ranked as (
   select *, row_number() over (
     partition by id order by ts_ms desc, file desc, pos desc, row_no desc) as rn from env)"""
-DAY = F.substring(F.col("ts").cast("string"), 1, 10)
 
 
 def ods_and_figures(spark: SparkSession, sf: str, root: str, where: Column | None = None) -> KeyedTable:
     """A feed to a keyed table, and figures of its current rows per day to another one, in turns:
     the second query goes on behind the commits it has seen."""
+    day = F.substring(F.col("ts").cast("string"), 1, 10)
     ods = state_table(spark, f"{root}/ods")
     dw = KeyedTable.create(
         spark, f"{root}/dw", schema(dt=STRING, cnt=LONG, total=DOUBLE), TableSpec(("dt",))
@@ -146,7 +146,7 @@ def ods_and_figures(spark: SparkSession, sf: str, root: str, where: Column | Non
     for step in range(2):
         if step:
             finish(stream_upsert(changes, ods, f"{root}/checkpoint-ods"))
-        finish(follow_aggregate(ods, dw, f"{root}/checkpoint-dw", {"dt": DAY}, F.col("value"), where,
+        finish(follow_aggregate(ods, dw, f"{root}/checkpoint-dw", {"dt": day}, F.col("value"), where,
                                 commits_per_trigger=1))
     return dw
 

@@ -67,6 +67,7 @@ class ChangelogLeftJoin:
 
     def apply(self, left_changes: DataFrame, right_changes: DataFrame, commit: str) -> None:
         """Fold one batch of both feeds in and revise the result. May be run again."""
+        commit = commits.OfBatch(commit)
         self.left.upsert(left_changes, commit)
         self.right.upsert(right_changes, commit)
         linked = left_changes.where(F.col(self.foreign_key).isNotNull())

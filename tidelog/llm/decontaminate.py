@@ -13,16 +13,14 @@ checked: a larger benchmark is a larger number of blocks, each run against all d
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tidelog.llm.common import WORDS, batch, flat, joined, utf8
+from tidelog.llm.common import WORDS, batch, flat, give_back, joined, lean, utf8
 
 WINDOW = 13
 SHINGLE = 5
@@ -139,83 +137,67 @@ def counted(docs: DataFrame, block: Block) -> dict[int, np.ndarray]:
 
     found = {s: np.zeros(len(block.keys[s]), np.int64) for s in block.sizes}
     if block.sizes:
-        totals = docs.select("b").mapInArrow(count, "size int, at int, n long") \
+        totals = docs.mapInArrow(lean(count), "size int, at int, n long") \
             .groupBy("size", "at").agg(F.sum("n").alias("n"))
         for r in totals.collect():  # as many rows as the block has shingles
             found[r["size"]][r["at"]] = r["n"]
     return found
 
 
-def places(docs: DataFrame, benchmark: DataFrame, id: str, text: str, item: str,
-           item_text: str, window: int, shingle: int, block_words: int) -> DataFrame:
-    """(row, n_words, n_hit, items) of each document; row holds its columns."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), utf8(text).alias("b"))
-    row_type = rows.schema["row"].dataType
-    parts = []
+def places(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str,
+           window: int, shingle: int, block_words: int) -> DataFrame:
+    """(row, n_words, spans, items) of each document; row holds its columns."""
+    bodies = docs.select(utf8(text).alias("b"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    found = []
     for block in blocks(benchmark, item, item_text, window, shingle, block_words):
-        block.anchored(counted(rows, block))
-        parts.append(searched(rows, row_type, block))
-    if len(parts) == 1:
-        done = parts[0]
-    else:
-        # The same scan once more for each block; spans of one row meet under its own key.
-        done = parts[0]
-        for part in parts[1:]:
-            done = done.unionByName(part)
-        done = done.groupBy(F.xxhash64(F.to_json("row")).alias("k"), F.to_json("row").alias("j")).agg(
-            F.first("row").alias("row"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_set("spans")).alias("spans"),
-            F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-            (F.count("*") / len(parts)).cast("int").alias("copies"))
-        done = done.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return done.select("row", "n_words", "spans", "items")
-
-
-def searched(rows: DataFrame, row_type: StructType, block: Block) -> DataFrame:
+        block.anchored(counted(bodies, block))
+        found.append(searcher(block))
+    body = utf8(F.col("row").getField(text))
+    # All blocks see a row in one pass, and the row itself stays with Spark.
+    rows = rows.select("row", F.array(*[search(body) for search in found]).alias("found"))
+    return rows.select("row", F.col("found")[0]["n_words"].alias("n_words"),
+                       F.flatten("found.spans").alias("spans"),
+                       F.array_distinct(F.flatten("found.items")).alias("items"))
+
+
+def searcher(block: Block):
+    """An Arrow function from texts to (n_words, spans, items) by one block."""
     span = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 
-    def search(batches):
-        for b in batches:
-            data, offsets = flat(b.column(1))
-            raw = data.tobytes()
-            words, spans, items = [], [], []
-            for i in range(b.num_rows):
-                n, ids = block.numbered(raw[offsets[i]:offsets[i + 1]])
-                found, listed = block.hits(ids) if n else ([], set())
-                words.append(n)
-                spans.append([{"lo": a, "hi": z} for a, z in found])
-                items.append(sorted(listed))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(words, pa.int64()), pa.array(spans, span),
-                 pa.array(items, pa.list_(pa.string()))], names=["row", "n_words", "spans", "items"])
-
-    return rows.mapInArrow(search, f"row {row_type.simpleString()}, n_words long, "
-                                   "spans array<struct<lo: long, hi: long>>, items array<string>")
+    @F.arrow_udf(returnType="struct<n_words: long, spans: array<struct<lo: long, hi: long>>, items: array<string>>")
+    def search(bodies: pa.Array) -> pa.Array:
+        data, offsets = flat(bodies)
+        raw = data.tobytes()
+        words, spans, items = [], [], []
+        for i in range(len(bodies)):
+            n, ids = block.numbered(raw[offsets[i]:offsets[i + 1]])
+            hits, listed = block.hits(ids) if n else ([], set())
+            words.append(n)
+            spans.append([{"lo": a, "hi": z} for a, z in hits])
+            items.append(sorted(listed))
+        del raw, data
+        give_back()
+        return pa.StructArray.from_arrays(
+            [pa.array(words, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))],
+            names=["n_words", "spans", "items"])
+
+    return search
 
 
 def judged(found: DataFrame) -> DataFrame:
     """n_hit, n_items, items_sha256 and the verdict, from the spans."""
-    types = {"n_words": pa.int64(), "n_hit": pa.int64(), "n_items": pa.int64(),
-             "items_sha256": pa.string(), "contaminated": pa.bool_()}
+    def grown(state, span):
+        return F.struct(F.greatest(state["end"], span["hi"]).alias("end"),
+                        (state["hit"] + F.greatest(F.lit(0).cast("long"),
+                         span["hi"] - F.greatest(state["end"], span["lo"]))).alias("hit"))
 
-    def judge(batches):
-        for b in batches:
-            rows = []
-            for n, spans, items in zip(b.column(1).to_pylist(), b.column(2).to_pylist(),
-                                       b.column(3).to_pylist()):
-                end = hit = 0
-                for s in sorted(spans, key=lambda s: s["lo"]):
-                    hit += max(0, s["hi"] - max(end, s["lo"]))
-                    end = max(end, s["hi"])
-                digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-                rows.append((n, hit, len(items), digest, hit > 0 and 20 * hit >= n))
-            columns = list(zip(*rows)) if rows else [[]] * len(types)
-            made = batch(dict(zip(types, columns)), types)
-            yield pa.RecordBatch.from_arrays([b.column(0), *made.columns], names=["row", *types])
-
-    row = found.schema["row"].dataType.simpleString()
-    return found.mapInArrow(judge, f"row {row}, n_words long, n_hit long, n_items long, "
-                                   "items_sha256 string, contaminated boolean")
+    none = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("hit"))
+    hit = F.aggregate(F.array_sort("spans"), none, grown, lambda state: state["hit"])
+    return found.select(
+        "row", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256")).withColumn(
+        "contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text",
@@ -229,8 +211,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     window; items repeated under one id count once; an empty benchmark leaves all clean. Repeated
     documents are judged alike; other columns are not read.
     """
-    found = places(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), benchmark, "id",
-                   "text", item, item_text, window, shingle, block_words)
+    found = places(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), benchmark, "text",
+                   item, item_text, window, shingle, block_words)
     out = judged(found.withColumn("row", F.struct(F.col("row.id").alias("id"))))
     return out.select(F.col("row.id").alias(id), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
@@ -238,6 +220,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                       item: str = "item_id", item_text: str = "text", window: int = WINDOW,
                       shingle: int = SHINGLE, block_words: int = 2_000_000) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    found = places(docs, benchmark, "", text, item, item_text, window, shingle, block_words)
+    """The documents that are not contaminated, with all their columns.
+
+    Nulls, repeated rows and an empty benchmark as in `contamination`; no documents give none.
+    """
+    found = places(docs, benchmark, text, item, item_text, window, shingle, block_words)
     return judged(found).where("not contaminated").select("row.*")

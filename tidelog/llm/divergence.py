@@ -13,10 +13,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, flat, joined, utf8
+from tidelog.llm.common import batch, flat, give_back, joined, lean, utf8
 
 # Frequent words of the languages that have a reference of their own.
 COMMON = {
@@ -98,6 +98,11 @@ def language(value: str | None) -> str:
     return value if value in COMMON else OTHER
 
 
+def tagged(docs: DataFrame, lang: str | None) -> Column:
+    """The language as text; null if the table has no such column."""
+    return F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast("string")
+
+
 def references(docs: DataFrame, text: str, lang: str | None) -> dict[str, tuple]:
     """Histograms of each listed language, over all distinct texts that pass the base rules."""
     width = len(CLASSES) + len(SLOT) + 1
@@ -131,9 +136,8 @@ def references(docs: DataFrame, text: str, lang: str | None) -> dict[str, tuple]
             yield batch({"lang": [k] * width, "slot": np.arange(width), "n": v},
                         {"lang": pa.string(), "slot": pa.int64(), "n": pa.int64()})
 
-    tag = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
-    parts = docs.select(utf8(text).alias("b"), tag.alias("lang"))
-    each = parts.mapInArrow(measure, "lang string, h binary, shares binary").groupBy("lang", "h").agg(
+    parts = docs.select(utf8(text).alias("b"), tagged(docs, lang).alias("lang"))
+    each = parts.mapInArrow(lean(measure), "lang string, h binary, shares binary").groupBy("lang", "h").agg(
         F.first("shares").alias("shares"))
     total = each.select("lang", "shares").mapInArrow(add, "lang string, slot long, n long").groupBy(
         "lang", "slot").agg(F.sum("n").alias("n"))
@@ -197,29 +201,31 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str | N
             columns = list(zip(*rows)) if rows else [[]] * (len(types) - 1)
             yield batch({"id": b.column(0), **dict(zip(list(types)[1:], columns))}, types)
 
-    tag = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
     kind = docs.schema[id].dataType.simpleString()
-    out = docs.select(F.col(id).alias("id"), utf8(text).alias("b"), tag.alias("lang")).mapInArrow(
-        judge, f"id {kind}, " + ", ".join(f"{c} long" for c in COUNTS)
+    out = docs.select(F.col(id).alias("id"), utf8(text).alias("b"),
+                      tagged(docs, lang).alias("lang")).mapInArrow(
+        lean(judge), f"id {kind}, " + ", ".join(f"{c} long" for c in COUNTS)
         + ", base_failed boolean, kept boolean, js_class double, js_common double")
     return out.withColumnRenamed("id", id)
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str | None = "lang",
               rules: Rules | None = None) -> DataFrame:
-    """The documents that pass, with all their columns."""
+    """The documents that pass, with all their columns.
+
+    Nulls and repeated rows are judged as by `score`; an empty table stays empty. The rows stay
+    with Spark: just texts and languages go to Python, and a verdict comes back.
+    """
     rules = rules or Rules()
     found = references(docs, text, lang)
 
-    def judge(batches):
-        for b in batches:
-            data, offsets = flat(b.column(1))
-            langs = b.column(2).to_pylist()
-            kept = [rules.judge(*measured(data[offsets[i]:offsets[i + 1]]), found[language(langs[i])])[2]
-                    for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(kept, pa.bool_()))], names=["row"])
-
-    tag = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), utf8(text).alias("b"),
-                       tag.alias("lang"))
-    return rows.mapInArrow(judge, f"row {rows.schema['row'].dataType.simpleString()}").select("row.*")
+    @F.arrow_udf(returnType="boolean")
+    def passes(texts: pa.Array, tags: pa.Array) -> pa.Array:
+        data, offsets = flat(texts)
+        langs = tags.to_pylist()
+        kept = [rules.judge(*measured(data[offsets[i]:offsets[i + 1]]), found[language(langs[i])])[2]
+                for i in range(len(texts))]
+        give_back()
+        return pa.array(kept, pa.bool_())
+
+    return docs.where(passes(utf8(text), tagged(docs, lang)))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, flat, joined, stored, utf8
+from tidelog.llm.common import batch, flat, give_back, joined, lean, stored, utf8
 
 COORDINATES = 63
 POSTED = 3  # coordinates of a posting
@@ -92,7 +92,7 @@ def signed(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(*keyed(docs, id, text), F.col(id).alias("id"), utf8(text).alias("b"))
     return rows.mapInArrow(
-        sign, f"k1 long, k2 long, id {kind}, n long, c binary, sig array<int>")
+        lean(sign), f"k1 long, k2 long, id {kind}, n long, c binary, sig array<int>")
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, listed: DataFrame, id: str, t
     wanted = classes.join(listed.select("r").distinct(), "r", "left_semi").select("r", "sig", "at.*")
     texts = docs.select(*keyed(docs, id, text), utf8(text).alias("b"))
     found = texts.join(wanted, ["k1", "k2"]).dropDuplicates(["k1", "k2"])  # equal rows of the table
-    return stored(found.select("r", "sig", "b").mapInArrow(make, "r long, sig array<int>, shingles binary"), "sets")
+    return stored(found.select("r", "sig", "b").mapInArrow(lean(make), "r long, sig array<int>, shingles binary"), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -146,7 +146,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) ->
 
     pair = with_sets(asked, sets.select("r", "shingles")).groupBy("a", "z").agg(
         F.collect_list("shingles").alias("pair"))
-    return pair.mapInArrow(compare, "a long, z long")
+    return pair.mapInArrow(lean(compare), "a long, z long")
 
 
 def with_sets(asked: DataFrame, sets: DataFrame) -> DataFrame:
@@ -264,6 +264,7 @@ def rest(groups: DataFrame, together: DataFrame, listed: DataFrame, sets: DataFr
                 mark[place] = False
                 ok = 100 * both >= percent * (size[at] + len(own) - both)
                 found += [(min(x, z), max(x, z)) for z in r[at[ok]].tolist()]
+        give_back()
         return pd.DataFrame(found, columns=["a", "z"], dtype="int64")
 
     return tiles.groupBy("near", "i", "j").applyInPandas(compare, "a long, z long")

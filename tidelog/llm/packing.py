@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, stored, utf8
+from tidelog.llm.common import batch, lean, stored, utf8
 from tidelog.llm.tokens import encoded
 
 CHUNK = 5000  # pieces of a length that one task ranks, about
@@ -208,7 +208,7 @@ def pieces_of(docs: DataFrame, id: str, text: str, tokenizer: str, kind: str | N
 
     kind_sql = docs.schema[id].dataType.simpleString()
     return docs.select(F.col(id).alias("id"), utf8(text).alias("b")).mapInArrow(
-        cut, f"id {kind_sql}, piece int, start long, length long, ids_crc32 long"
+        lean(cut), f"id {kind_sql}, piece int, start long, length long, ids_crc32 long"
              + (", ids binary" if with_ids else ""))
 
 

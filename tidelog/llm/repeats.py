@@ -23,10 +23,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import batch, flat, joined, stored, utf8
+from tidelog.llm.common import batch, flat, give_back, joined, lean, stored, utf8
 
 SEGMENT = 1 << 18  # windows of one text that are ranked at once
 RUNS = {"k1": pa.int64(), "k2": pa.int64(), "v": pa.int64(), "u": pa.int64(), "lo": pa.int32(),
@@ -176,7 +176,7 @@ def repeated_spans(texts: DataFrame, min_bytes: int) -> DataFrame:
     if size < 80:
         raise ValueError("min_bytes is 80 at least: the first ranks are of 64 bytes")
     long = texts.where(F.length("b") >= size)
-    runs = stored(long.mapInArrow(run_batches(64, size), RUNS_SQL), "runs")
+    runs = stored(long.mapInArrow(lean(run_batches(64, size)), RUNS_SQL), "runs")
     found = []
     for length in (size * 4 // 5, size):
         done, rest = settled(runs)
@@ -185,7 +185,7 @@ def repeated_spans(texts: DataFrame, min_bytes: int) -> DataFrame:
             F.collect_set(F.struct("lo", "n", "known")).alias("spans")), "open-runs")
         # Equal rows of the table need not be ranked twice: their runs are known by now.
         again = long.join(rest, ["k1", "k2"]).select("k1", "k2", "b", "spans")
-        runs = stored(again.mapInArrow(run_batches(length, size), RUNS_SQL), "runs")
+        runs = stored(again.mapInArrow(lean(run_batches(length, size)), RUNS_SQL), "runs")
     found.append(settled(runs)[0])
     spans = found[0]
     for more in found[1:]:
@@ -202,14 +202,13 @@ def cover(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[first], hi[np.concatenate([first[1:], [True]])]
 
 
-def cut_spans(b: pa.RecordBatch, body: int, spans: int, size: int):
+def cut_spans(bodies: pa.Array, listed: pa.Array, size: int):
     """Of each row: its bytes, the maximal removed spans, and what remains."""
-    data, offsets = flat(b.column(body))
-    listed = b.column(spans)
+    data, offsets = flat(bodies)
     at = listed.offsets.to_numpy()
     lo_all = listed.values.field("lo").to_numpy() if len(listed.values) else np.empty(0, np.int32)
     n_all = listed.values.field("n").to_numpy() if len(listed.values) else np.empty(0, np.int32)
-    for i in range(b.num_rows):
+    for i in range(len(bodies)):
         text = data[offsets[i]:offsets[i + 1]]
         if not listed[i].is_valid or at[i] == at[i + 1]:
             yield text, (np.empty(0, np.int64), np.empty(0, np.int64)), text.tobytes()
@@ -221,21 +220,23 @@ def cut_spans(b: pa.RecordBatch, body: int, spans: int, size: int):
         yield text, (starts, ends), kept
 
 
-def keyed(docs: DataFrame, text: str, id: str) -> DataFrame:
-    """(k1, k2, b) of each row: a key of its id and text, equal for equal rows only."""
+def keys(text: str, id: str) -> list[Column]:
+    """k1 and k2: a key of a row's id and text, equal for equal rows only."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     i = F.coalesce(F.col(id).cast("string"), F.lit("null"))
-    return docs.select(F.xxhash64(i, t).alias("k1"), F.xxhash64(t, F.lit(7), i).alias("k2"),
-                       utf8(text).alias("b"))
+    return [F.xxhash64(i, t).alias("k1"), F.xxhash64(t, F.lit(7), i).alias("k2")]
+
+
+def keyed(docs: DataFrame, text: str, id: str) -> DataFrame:
+    """(k1, k2, b) of each row: its key and its bytes."""
+    return docs.select(*keys(text, id), utf8(text).alias("b"))
 
 
 def with_spans(docs: DataFrame, text: str, id: str, min_bytes: int) -> DataFrame:
     """One row for each of docs: its columns in the struct `row`, its bytes `b`, and `spans`."""
     spans = repeated_spans(keyed(docs, text, id), min_bytes)
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    i = F.coalesce(F.col(id).cast("string"), F.lit("null"))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), utf8(text).alias("b"),
-                       F.xxhash64(i, t).alias("k1"), F.xxhash64(t, F.lit(7), i).alias("k2"))
+                       *keys(text, id))
     return rows.join(spans, ["k1", "k2"], "left").select("row", "b", "spans")
 
 
@@ -259,7 +260,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text",
             if not b.num_rows:
                 continue
             total, removed, count, spans, kept, digest = [], [], [], [], [], []
-            for body, (starts, ends), rest in cut_spans(b, 1, 2, min_bytes):
+            for body, (starts, ends), rest in cut_spans(b.column(1), b.column(2), min_bytes):
                 total.append(len(body))
                 removed.append(len(body) - len(rest))
                 count.append(len(starts))
@@ -279,30 +280,31 @@ def strip_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text",
                   min_bytes: int = 200) -> DataFrame:
     """docs with the repeated bytes cut out of `text`; rows and columns stay.
 
-    A character cut in two goes with the passage. `n_chars`, if there is one, is counted anew.
+    A character cut in two goes with the passage. `n_chars`, if there is one, is counted anew. A
+    null text stays null, repeated rows all lose the text, an empty table stays empty.
     """
-    names = docs.columns
+    spans = repeated_spans(keyed(docs, text, id), min_bytes)
 
-    def cut(batches):
-        for b in batches:
-            if b.num_rows:
-                rest = [k.decode("utf-8", "ignore") if len(s[0]) else None
-                        for _, s, k in cut_spans(b, 1, 2, min_bytes)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(rest, pa.string())], names=["row", "rest"])
+    @F.arrow_udf(returnType="string")
+    def rest_of(bodies: pa.Array, listed: pa.Array) -> pa.Array:
+        rest = [k.decode("utf-8", "ignore") if len(s[0]) else None
+                for _, s, k in cut_spans(bodies, listed, min_bytes)]
+        give_back()
+        return pa.array(rest, pa.string())
 
-    cut_rows = with_spans(docs, text, id, min_bytes)
-    row = cut_rows.schema["row"].dataType.simpleString()
-    out = cut_rows.mapInArrow(cut, f"row {row}, rest string")
-    new = F.coalesce(F.col("rest"), F.col("row").getField(text))
+    # One struct holds the columns, so that no name of theirs can clash; texts without a passage
+    # of the kind never leave Spark.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *keys(text, id))
+    was = F.col("row").getField(text)
+    body = F.when(F.col("spans").isNotNull(), was)
+    found = rows.join(spans, ["k1", "k2"], "left").select("row", rest_of(utf8(body), "spans").alias("rest"))
 
     def column(c: str):
         if c == text:
-            return new.alias(c)
+            return F.coalesce("rest", was).alias(c)
         if c == "n_chars":
-            kind = docs.schema[c].dataType
-            changed = F.length("rest").cast(kind)
+            changed = F.length("rest").cast(docs.schema[c].dataType)
             return F.coalesce(changed, F.col("row").getField(c)).alias(c)
         return F.col("row").getField(c).alias(c)
 
-    return out.select(*[column(c) for c in names])
+    return found.select(*[column(c) for c in docs.columns])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelog import session
 from tidelog.llm import decontaminate, divergence, minhash, packing, repeats
-from tidelog.llm.common import ready, table
+from tidelog.llm.common import BATCH_BYTES, ready, table
 
 #: SQL cannot express the operators; the tests hold every stage against a brute-force version.
 ORACLE_SQL = None
@@ -15,31 +15,31 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return divergence.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, over five-word shingles."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return minhash.keep_one(docs, words=5, percent=80)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages of 200 bytes and more that occur more than once."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return repeats.strip_repeats(docs, min_bytes=200)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every document's tokens in sequences of 4096."""
-    ready(spark)
+    ready(spark, BATCH_BYTES)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), kind="words", end_id=1, capacity=4096)
 
 

@@ -359,3 +359,20 @@ def test_repeats(spark, compare):
     assert stripped.columns == frame(spark, rows).columns and stripped.count() == len(rows)
     assert sum(len((r.text or "").encode()) for r in stripped.collect()) <= sum(w[1] - w[2] for w in want)
     assert repeats.remove_repeats(frame(spark, rows).where("false")).count() == 0
+
+
+def test_quality_without_languages_and_of_no_rows(spark):
+    docs = spark.createDataFrame([(1, "a " * 40), (2, None)], "doc_id int, text string")
+    assert {r.doc_id for r in divergence.score(docs).collect()} == {1, 2}
+    assert set(divergence.keep_good(docs).columns) == {"doc_id", "text"}
+    assert divergence.keep_good(docs.where("false")).collect() == []
+
+
+def test_stripping_keeps_odd_rows_and_columns(spark):
+    passage = "".join(f"w{i} " for i in range(80))
+    docs = spark.createDataFrame(
+        [(1, "a" + passage, "x"), (2, "b" + passage, "y"), (3, None, "z"), (4, "", "z"), (5, "short", "z")],
+        "doc_id int, text string, spans string")
+    got = {r.doc_id: (r.text, r.spans) for r in repeats.strip_repeats(docs).collect()}
+    assert got == {1: ("a", "x"), 2: ("b", "y"), 3: (None, "z"), 4: ("", "z"), 5: ("short", "z")}
+    assert repeats.strip_repeats(docs.where("false")).collect() == []

@@ -24,14 +24,16 @@ WORDS = bytes(
 )
 
 
-# Whole texts go to Python in batches of about these bytes, so that a few long ones bound them, not rows.
+# Stages that run one after the other in the same workers send whole texts to Python in batches of
+# about these bytes.
 BATCH_BYTES = 4 << 20
 
 
-def ready(spark: SparkSession) -> SparkSession:
+def ready(spark: SparkSession, batch_bytes: int | None = None) -> SparkSession:
     """Session settings, and Python workers of a local session that find this package; on a
     cluster it is shipped with --py-files."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if batch_bytes:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(":"):

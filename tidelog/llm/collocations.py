@@ -29,15 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import LOWER, UPPER, batch, joined, stored, utf8
+from tidelog.llm.common import LOWER, UPPER, batch, joined, lean, stored, utf8
 
 LEAST = 30  # occurrences of a phrase
 TOP = 2000  # phrases of a language, those of equal rank decided by count and text
 SCALE = 2_000_000
 NO_LANG = "und"
 STEP = 2 << 20  # bytes of text that are split at a time
-HELD = 2_000_000  # entries a task holds before it hands them on
-RUN_BYTES = 48 << 20  # memory of the runs a task holds, about
+HELD = 1_200_000  # entries a task holds before it hands them on
+RUN_BYTES = 32 << 20  # memory of the runs a task holds, about
+SENT = 1 << 16  # rows of a batch handed on
 W = ["w1", "w2", "w3", "w4"]
 SPREAD = 64  # parts in which a language's phrases are ranked before they meet
 FILTER_BITS = 1 << 26  # of each filter: 8 MiB, whatever the input
@@ -63,6 +64,24 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the bytes times their powers, up to each place, and the powers of the inverse."""
+    up, down = powers(len(data))
+    total = np.zeros(len(data) + 1, np.uint64)
+    line = total[1:]
+    line[:] = data
+    line += np.uint64(1)
+    line *= up[:len(data)]
+    np.cumsum(line, out=line)
+    return total, down
+
+
+def sent(made: pa.RecordBatch):
+    """A batch in parts of few rows, so that no side holds a large one."""
+    for at in range(0, made.num_rows, SENT):
+        yield made.slice(at, SENT)
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray):
     """Of lowered texts end to end: each word's hash, start, end, and whether it follows the one
     before in the same piece."""
@@ -75,12 +94,12 @@ def words_of(data: np.ndarray, offsets: np.ndarray):
     last = word.copy()
     last[:-1] &= ~word[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = powers(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
+    total, down = sums(data)
     hashes = (total[ends] - total[starts]) * down[starts]
+    del total
     hashes = joined(hashes, (ends - starts).astype(np.uint64))
-    breaks = np.cumsum((kind == 2) | edge[:-1])[starts]
+    stops = np.flatnonzero((kind == 2) | edge[:-1])
+    breaks = np.searchsorted(stops, starts, "right")
     follows = np.zeros(len(starts), bool)
     follows[1:] = breaks[1:] == breaks[:-1]
     return hashes, starts, ends, follows
@@ -90,9 +109,7 @@ def hashed(texts: list[bytes]) -> np.ndarray:
     """The hash of each of some words."""
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
-    up, down = powers(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
+    total, down = sums(data)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     return joined((total[ends] - total[starts]) * down[np.minimum(starts, len(down) - 1)], sizes.astype(np.uint64))
@@ -161,7 +178,7 @@ class Filter:
                 bits = np.bitwise_or.reduceat(bits, first) if len(at) else bits
                 yield batch({"slot": slot, "bits": bits.view(np.int64)}, {"slot": pa.int64(), "bits": pa.int64()})
 
-        return keys.mapInArrow(put, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+        return keys.mapInArrow(lean(put), "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
 
     @classmethod
     def shipped(cls, keys: DataFrame):
@@ -199,12 +216,12 @@ def count_words(texts: DataFrame) -> DataFrame:
                 key = (names[lang], raw[s:e])
                 held[key] = held.get(key, 0) + n
             if len(held) > HELD // 8:
-                yield emit(held)
+                yield from sent(emit(held))
                 held = {}
         if held:
-            yield emit(held)
+            yield from sent(emit(held))
 
-    found = texts.mapInArrow(count, "lang string, word binary, f long")
+    found = texts.mapInArrow(lean(count), "lang string, word binary, f long")
     return found.groupBy("lang", F.col("word").cast("string").alias("word")).agg(F.sum("f").alias("f"))
 
 
@@ -224,7 +241,7 @@ def phrase_keys(phrases: DataFrame, columns: list[str]) -> DataFrame:
                 found = chained([hashed(c.to_pylist()) for c in b.columns[1:]], seeds(list(names))[which])
                 yield batch({"key": found.view(np.int64)}, {"key": pa.int64()})
 
-    return phrases.select("lang", *(F.col(c).cast("binary").alias(c) for c in columns)).mapInArrow(key, "key long")
+    return phrases.select("lang", *(F.col(c).cast("binary").alias(c) for c in columns)).mapInArrow(lean(key), "key long")
 
 
 def pair_keys(hashes: np.ndarray, follows: np.ndarray, seed: np.ndarray, words: Filter) -> tuple[np.ndarray, np.ndarray]:
@@ -252,12 +269,12 @@ def count_pairs(texts: DataFrame, words, least: int) -> DataFrame:
             held.append(pair_keys(hashes, follows, seed, passes)[1])
             size += len(held[-1])
             if size > HELD:
-                yield emit()
+                yield from sent(emit())
                 held, size = [], 0
         if held:
-            yield emit()
+            yield from sent(emit())
 
-    found = texts.mapInArrow(count, "key long, n long")
+    found = texts.mapInArrow(lean(count), "key long, n long")
     return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
 
 
@@ -291,12 +308,12 @@ def find_runs(texts: DataFrame, words, pairs) -> DataFrame:
                     size += len(run) + 200
                 held[key] = held.get(key, 0) + 1
             if size > RUN_BYTES:
-                yield emit(held)
+                yield from sent(emit(held))
                 held, size = {}, 0
         if held:
-            yield emit(held)
+            yield from sent(emit(held))
 
-    found = texts.mapInArrow(find, "lang string, run binary, m long")
+    found = texts.mapInArrow(lean(find), "lang string, run binary, m long")
     return found.groupBy("lang", F.col("run").cast("string").alias("run")).agg(F.sum("m").alias("m"))
 
 
@@ -335,12 +352,12 @@ def counted(runs: DataFrame, size: int, least: int, opened=None) -> DataFrame:
                         held[key] = held.get(key, 0) + m
                 done += len(offsets) - 1
                 if len(held) > HELD // 8:
-                    yield emit()
+                    yield from sent(emit())
                     held = {}
         if held:
-            yield emit()
+            yield from sent(emit())
 
-    found = runs.select("lang", F.col("run").cast("binary"), "m").mapInArrow(count, "lang string, phrase binary, m long")
+    found = runs.select("lang", F.col("run").cast("binary"), "m").mapInArrow(lean(count), "lang string, phrase binary, m long")
     found = found.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("m").alias("a")).where(
         F.col("a") >= least)
     words = F.split("phrase", " ")

@@ -275,3 +275,56 @@ def test_images_are_what_a_stretch_of_commits_changed(spark, tmp_path):
     t.truncate("c4")
     assert rows(t.images("c3", "c4").selectExpr("id", "old.v as old", "new.v as new")) == sorted(
         [(1, 10, None), (2, 2, None), (4, 4, None)], key=repr)
+
+
+GIVEN = "id int, a int, b string, ts int, op string"
+SAID = [  # (kind, row): whole rows and deletes say something about every column, patches about some
+    ("patch", (1, None, "x", 3, "u")), ("upsert", (1, 1, "w", 1, "c")), ("patch", (1, 2, None, 2, "u")),
+    ("upsert", (2, 5, "y", 1, "c")), ("patch", (2, 6, None, 3, "u")), ("upsert", (2, None, None, 2, "d")),
+    ("patch", (2, 4, "old", 1, "u")), ("upsert", (3, None, "v", 4, "c")), ("patch", (3, 9, "u", 3, "u")),
+    ("patch", (4, 8, None, 2, "d")), ("patch", (4, 7, "z", 1, "u")), ("upsert", (5, 3, "plain", 1, "c")),
+]
+LAST_WORDS = [(1, 2, "x", 3), (2, 6, None, 3), (3, None, "v", 4), (5, 3, "plain", 1)]
+
+
+def patched(spark, path, said):
+    shape = T.StructType.fromDDL("id int, a int, b string, ts int")
+    t = KeyedTable.create(spark, path, shape, TableSpec(("id",), ("ts",)))
+    for n, (kind, row) in enumerate(said):
+        getattr(t, kind)(spark.createDataFrame([row], GIVEN), f"c{n:02}")
+    return t
+
+
+@pytest.mark.parametrize("order", [range(12), range(11, -1, -1), [5, 0, 7, 2, 9, 4, 11, 6, 1, 8, 3, 10]])
+def test_patches_have_the_last_word_in_any_order(spark, tmp_path, order):
+    t = patched(spark, str(tmp_path / "t"), [SAID[n] for n in order])
+    assert rows(t.snapshot(), "id", "a", "b", "ts") == LAST_WORDS
+
+
+def test_patches_in_every_kind_of_read(spark, tmp_path):
+    t = patched(spark, str(tmp_path / "t"), SAID[:2])
+    got = ["id", "a", "b", "ts"]
+    assert rows(t.as_of("c00"), *got) == [(1, None, "x", 3)]
+    assert rows(t.snapshot(), *got) == [(1, 1, "x", 3)]
+    assert t.commits().count() == 2 and t.versions().count() == 2
+    assert t.compact() == "c01" and rows(t.snapshot(), *got) == [(1, 1, "x", 3)]
+    t.patch(spark.createDataFrame([(1, 4)], "id int, a int"), "c02")  # no order: older than all
+    t.patch(spark.createDataFrame([(1, 6, 2)], "id int, a int, ts int"), "c03")
+    assert rows(t.incremental("c02"), *got) == [(1, 6, "x", 3)]
+    assert rows(t.changed(["c02", "c03"]), *got) == [(1, 6, "x", 3)]
+    image, = t.images("c01", "c03").collect()
+    assert (image["old"]["a"], image["new"]["a"], image["new"]["b"]) == (1, 6, "x")
+    t.delete_keys(spark.createDataFrame([(1,)], "id int"), "c04")
+    assert rows(t.snapshot()) == []
+    t.patch(spark.createDataFrame([(1, 7, 1)], "id int, a int, ts int"), "c05")
+    assert rows(t.snapshot(), *got) == [(1, 7, None, 1)]
+    t.truncate("c06")
+    t.patch(spark.createDataFrame([(2, 7, 1)], "id int, a int, ts int"), "c07")
+    assert rows(t.snapshot(), *got) == [(2, 7, None, 1)]
+
+
+def test_patch_over_a_folded_base(spark, tmp_path):
+    t = patched(spark, str(tmp_path / "t"), [SAID[1], SAID[3], SAID[5]])
+    t.compact()
+    t.patch(spark.createDataFrame([SAID[2][1], SAID[6][1]], GIVEN), "c10")
+    assert rows(t.snapshot(), "id", "a", "b", "ts") == [(1, 2, "w", 2)]

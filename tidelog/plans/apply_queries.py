@@ -42,6 +42,31 @@ def app_partial_update(spark: SparkSession, sf: str) -> DataFrame:
     return partial_state(feed(spark, sf), ["id"], FEED_ORDER, ["value", "data", "props"])
 
 
+@query("app_patch_out_of_order", feed_sql(""", cells as (
+  select id, arg_max(op, (ts, pos)) as op,
+    arg_max({'v': case when op <> 'd' then value end}, (ts, pos))
+      filter (where op <> 'u' or value is not null) as value,
+    arg_max({'v': case when op <> 'd' then data end}, (ts, pos))
+      filter (where op <> 'u' or pos % 2 = 0) as data,
+    arg_max({'v': case when op <> 'd' then props end}, (ts, pos))
+      filter (where op <> 'u' or pos % 2 = 1) as props, arg_max(pos, (ts, pos)) as pos
+  from feed group by id)
+select id, value.v as value, data.v as data, props.v as props, pos from cells where op <> 'd'"""))
+def app_patch_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates that say something about some columns only, and whole rows and deletes, by turns
+    and the later ones first: each column has the last word said about it."""
+    t, events = feed_table(spark, "patched"), feed(spark, sf)
+    parts = events.withColumns({
+        "data": F.when(F.col("pos") % 2 == 0, F.col("data")), "props": F.when(F.col("pos") % 2 == 1, F.col("props")),
+    }).where("op = 'u'")
+    whole = events.where("op <> 'u'")
+    t.patch(parts.where("dt > '2024-01-15'"), "c1")
+    t.upsert(whole.where("dt <= '2024-01-10'"), "c2")
+    t.patch(parts.where("dt <= '2024-01-15'"), "c3")
+    t.upsert(whole.where("dt > '2024-01-10'"), "c4")
+    return t.snapshot().select("id", "value", "data", "props", "pos")
+
+
 def keyed_copy(
     spark: SparkSession, df: DataFrame, key: str, label: str, kind: str = "mor", **spec
 ) -> KeyedTable:

@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 # Runtime settings every job of this package relies on. They are all changeable on a live
 # session, so a session made elsewhere gets them too.
 RUNTIME_CONF = {
+    # A union of sides that are partitioned alike would be zipped, though adaptive execution may have
+    # merged the partitions of one side only.
+    "spark.sql.unionOutputPartitioning": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",

@@ -178,11 +178,10 @@ def follow(
 def follow_changes(
     table: KeyedTable, each: Batch, checkpoint: str, from_commit: str = "", **options
 ) -> StreamingQuery:
-    """The rows of complete commits from one on, with `op` and the commit, batch by batch."""
+    """The rows of complete commits from one on, with `op` and the commit, batch by batch; patched
+    keys come with their whole rows (see MergeOnRead.changed)."""
     def handle(ids: Sequence[str], _, batch_id: int) -> None:
-        done = set(commits.complete(table.spark, table.log))
-        each(commits.read(table.spark, table.log, [c for c in ids if c in done and c >= from_commit],
-                          table._stored()), batch_id)
+        each(table.changed([c for c in ids if c >= from_commit]), batch_id)
 
     return follow(table, handle, checkpoint, **options)
 

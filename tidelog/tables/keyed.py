@@ -45,6 +45,47 @@ def resolve(
     return latest_per_key(rows, keys, [*order_by, COMMIT])
 
 
+def resolve_columns(
+    rows: DataFrame,
+    patches: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    key_deletes: DataFrame | None = None,
+) -> DataFrame:
+    """The row of each key with patches, column by column, deletes included as op 'd'.
+
+    Rows and deletes speak about every column, patches about those that are not null; of the
+    versions that speak about a column the greatest in (order_by, commit) gives its value. `op`,
+    order and commit are those of the greatest version. Arrival decides nothing but equal orders.
+    """
+    rank = F.struct(*order_by, COMMIT).alias("r")
+    values = [c for c in rows.columns if c not in (*keys, *order_by, "op", COMMIT)]
+    alive = F.coalesce(F.col("op") != "d", F.lit(True))
+
+    def cells(df: DataFrame, whole: bool) -> DataFrame:
+        """Each column as its value and the order it was said in; null where nothing was said."""
+        def cell(c: str) -> Column:
+            said = F.struct(rank, F.when(alive, F.col(c)).alias("v"))
+            return (said if whole else F.when(~alive | F.col(c).isNotNull(), said)).alias(c)
+
+        top = F.struct(rank, F.col("op").alias("v")).alias("op")
+        return df.select(*keys, *(cell(c) for c in values), top, F.col(COMMIT).alias("__at"))
+
+    def last(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        # Combined before the shuffle: a task ships one row per key however often it occurs.
+        return df.groupBy(*by).agg(*(F.max_by(c, F.col(c)["r"]).alias(c) for c in (*values, "op")))
+
+    both = cells(rows, True).unionByName(cells(patches, False))
+    if key_deletes is not None:
+        # One row per key and commit first: the join below then meets no hot key.
+        ends = key_deletes.groupBy(*keys).agg(F.max(COMMIT).alias("__end"))
+        both = last(both, [*keys, "__at"]).join(ends, list(keys), "left").where(
+            F.col("__end").isNull() | (F.col("__at") > F.col("__end")))
+    out = {c: F.col(c)["v"] for c in (*values, "op")}
+    out |= {c: F.col("op")["r"][c] for c in (*order_by, COMMIT)}
+    return last(both, keys).select(*(out[c].alias(c) if c in out else c for c in rows.columns))
+
+
 class KeyedTable:
     """A table with a record key, an order between versions, and a timeline of commits.
 
@@ -131,8 +172,8 @@ class KeyedTable:
     def patch(self, df: DataFrame, commit: str | None = None) -> str:
         """Apply changes in which a null or missing column keeps the value the row has.
 
-        Only the rows of the changed keys are read back; they take part as the oldest change of
-        equal order.
+        Here only the rows of the changed keys are read back; they take part as the oldest change
+        of equal order, so a late change fills no more than what is null.
         """
         commit = self._allot(commit)
         spec = self.spec
@@ -217,7 +258,7 @@ class KeyedTable:
         ]
 
     def commit_ids(self) -> list[tuple[str, str]]:
-        kinds = ("log", "deletes", "truncates")
+        kinds = ("log", "patches", "deletes", "truncates")
         return [(c, k) for k in kinds for c in self._timeline(k)]
 
     def commits(self) -> DataFrame:
@@ -251,7 +292,8 @@ class KeyedTable:
         return rows.where("op <> 'd'").select(*self.columns, COMMIT)
 
     def stream_changes(self, from_commit: str = FIRST) -> DataFrame:
-        """Changes as they are committed, from a commit on, as a streaming frame."""
+        """Rows as they are committed, from a commit on, as a streaming frame; patches, which are
+        parts of rows, are not among them (see `follow_changes`)."""
         schema = self._stored().add(COMMIT, "string")
         return (
             self.spark.readStream.schema(schema).parquet(self.log)
@@ -262,6 +304,7 @@ class KeyedTable:
 
 class MergeOnRead(KeyedTable):
     """log/commit_time=.../    changes, with `op`
+    patches/commit_time=.../   changes of some columns, the others null, with `op`
     deletes/commit_time=.../   keys deleted without an order value
     base/upto=.../             the log folded up to a commit
     """
@@ -272,6 +315,43 @@ class MergeOnRead(KeyedTable):
             rows = rows.hint("rebalance", *self.spec.partition_by)
         commits.write(rows, self.log, commit, self.spec.partition_by)
 
+    def patch(self, df: DataFrame, commit: str | None = None) -> str:
+        """Apply changes in which a null or missing column says nothing about it. They are kept as
+        they come and a read takes the last word on each column, so late changes, and rows that
+        come later than a patch of a greater order, are right in any order of arrival."""
+        commit = self._allot(commit)
+        absent = {f.name: F.lit(None) for f in self.schema if f.name not in df.columns}
+        commits.write(self._rows(df.withColumns(absent), "u"), f"{self.path}/patches", commit)
+        return commit
+
+    def _patches(self, ids: Sequence[str]) -> DataFrame | None:
+        """Patches of some commits; None if they have none."""
+        done = set(self._timeline("patches")).intersection(ids)
+        if not done:
+            return None
+        return commits.read(self.spark, f"{self.path}/patches", sorted(done), self._stored())
+
+    def _resolve(self, rows: DataFrame, patches: DataFrame | None, deletes: DataFrame | None) -> DataFrame:
+        """Winning row per key; only keys with patches are folded column by column."""
+        spec, keys = self.spec, list(self.spec.keys)
+        if patches is None:
+            return resolve(rows, keys, spec.order_by, deletes)
+        patched = patches.select(*keys).distinct()
+        whole = resolve(rows.join(patched, keys, "left_anti").select(*rows.columns), keys, spec.order_by, deletes)
+        own = rows.join(patched, keys, "left_semi").select(*rows.columns)
+        return whole.unionByName(resolve_columns(own, patches, keys, spec.order_by, deletes))
+
+    def changed(self, ids: Sequence[str]) -> DataFrame:
+        """The rows of some commits as they came, with `op` and the commit; of keys patched there the
+        rows as of the last of the commits instead of the patches."""
+        done = set(self._timeline("log"))
+        rows = commits.read(self.spark, self.log, [c for c in ids if c in done], self._stored())
+        patches = self._patches(ids)
+        if patches is None:
+            return rows
+        touched = patches.select(*self.spec.keys).distinct()
+        return rows.unionByName(self._state(max(ids), touched).select(*rows.columns))
+
     def load_history(self, df: DataFrame, commit: str) -> None:
         """Load many commits, named by a column, at once."""
         df = df.withColumn("__commit", F.col(commit))
@@ -318,26 +398,29 @@ class MergeOnRead(KeyedTable):
         """The row of each key as of a commit, hidden ones included; `only` of some keys."""
         spec = self.spec
         upto, base = self._base(instant)
-        kinds = ("log", "deletes")
+        kinds = ("log", "patches", "deletes")
         if base is not None and only is not None:
             base = base.join(only, list(spec.keys), "left_semi")
         if base is not None and not any(self._between(k, upto, instant) for k in kinds):
             return base
         rows, deletes = self._changes(upto, instant)
         if only is not None:
-            rows = rows.join(only, list(spec.keys), "left_semi")
+            rows = rows.join(only, list(spec.keys), "left_semi").select(*rows.columns)
+        patches = self._patches(self._between("patches", upto, instant))
+        if patches is not None and only is not None:
+            patches = patches.join(only, list(spec.keys), "left_semi").select(*rows.columns)
         if base is None:
-            return resolve(rows, spec.keys, spec.order_by, deletes)
+            return self._resolve(rows, patches, deletes)
         # Only keys the log touches since the base are ranked again. Untouched base rows pass
         # as they are, unsorted, and unshuffled too where the touched keys are few.
         keys = list(spec.keys)
         touched = rows.select(*keys)
-        if deletes is not None:
-            touched = touched.unionByName(deletes.select(*keys))
+        for more in (patches, deletes):
+            touched = touched if more is None else touched.unionByName(more.select(*keys))
         touched = touched.distinct()
         again = base.join(touched, keys, "left_semi").unionByName(rows)
         return base.join(touched, keys, "left_anti").select(*rows.columns).unionByName(
-            resolve(again, keys, spec.order_by, deletes)
+            self._resolve(again.select(*rows.columns), patches, deletes)
         )
 
     def images(self, after: str, upto: str) -> DataFrame:
@@ -348,9 +431,10 @@ class MergeOnRead(KeyedTable):
         """
         keys = list(self.spec.keys)
         rows, deletes = self._changes(after, upto)
+        patches = self._patches(self._between("patches", after, upto))
         touched = rows.select(*keys)
-        if deletes is not None:
-            touched = touched.unionByName(deletes.select(*keys))
+        for more in (patches, deletes):
+            touched = touched if more is None else touched.unionByName(more.select(*keys))
         before = self._state(after) if after else None
         if before is not None and self._cut(upto) > after:
             touched = touched.unionByName(before.select(*keys))
@@ -372,20 +456,30 @@ class MergeOnRead(KeyedTable):
         return self.insert(df, commit)
 
     def versions(self, after: str = "", upto: str | None = None) -> DataFrame:
-        """Every row written in the commits (after, upto], not folded."""
-        return commits.read(
+        """Every row and patch written in the commits (after, upto], not folded."""
+        rows = commits.read(
             self.spark, self.log, self._between("log", after, upto), self._stored()
         )
+        patches = self._patches(self._between("patches", after, upto))
+        return rows if patches is None else rows.unionByName(patches)
 
     def incremental(
         self, begin: str = FIRST, end: str | None = None, with_deletes: bool = False
     ) -> DataFrame:
         """Latest version, within the commits (begin, end], of each key changed there.
 
-        With `with_deletes` the changes keep their `op`, and deleted keys appear as 'd' rows.
+        With `with_deletes` the changes keep their `op`, and deleted keys appear as 'd' rows. Keys
+        patched there come with their row as of the end.
         """
         rows, deletes = self._changes(begin, end)
-        latest = resolve(rows, self.spec.keys, self.spec.order_by, deletes)
+        patches = self._patches(self._between("patches", begin, end))
+        if patches is None:
+            latest = resolve(rows, self.spec.keys, self.spec.order_by, deletes)
+        else:
+            patched = patches.select(*self.spec.keys).distinct()
+            others = rows.join(patched, list(self.spec.keys), "left_anti").select(*rows.columns)
+            latest = resolve(others, self.spec.keys, self.spec.order_by, deletes).unionByName(
+                self._state(end, patched).select(*rows.columns))
         if not with_deletes:
             return self._visible(latest)
         if deletes is None:
@@ -398,9 +492,10 @@ class MergeOnRead(KeyedTable):
     def compact(self) -> str:
         """Fold the log so far into a base. Ordered deletes stay in it, hidden from readers:
         without them an older event that comes late would bring the key back. Deletes by key
-        need not stay, since every later commit outlives them anyway. The log is kept."""
+        need not stay, since every later commit outlives them anyway. The log is kept. A table with
+        patches is not folded: a row would not tell the order of its columns any more."""
         upto = self.last_commit()
-        if not upto:
+        if not upto or self._between("patches", "", None):
             return upto
         state = self._state(upto)
         if self.spec.partition_by:
@@ -506,5 +601,9 @@ class CopyOnWrite(KeyedTable):
         """Refused: a commit holds whole buckets, rows that did not change among them."""
         raise ValueError("a copy-on-write table has no stream of changes")
 
+    def changed(self, ids: Sequence[str]) -> DataFrame:
+        """Refused like `stream_changes`."""
+        return self.stream_changes()
+
     def incremental(self, begin: str = FIRST, end: str | None = None) -> DataFrame:
         return self.as_of(end).where(F.col(COMMIT) > begin)

@@ -13,8 +13,7 @@ from tidelog.operators.joins import (
 from tidelog.operators.ordered import position_in_group, running_sum, with_position
 from tidelog.operators.words import word_count
 from tidelog.plans.inputs import (
-    FEED_ORDER, drain, env_sql, feed, feed_sql, feed_stream, landing_files, ntz, per_trigger,
-    table,
+    FEED_ORDER, dealt, drain, env_sql, feed, feed_sql, feed_stream, ntz, per_trigger, table,
 )
 from tidelog.plans.registry import query
 from tidelog.schemas import LONG, STRING, TIMESTAMP, TableSpec, schema
@@ -100,10 +99,10 @@ def rel_changelog_left_join(spark: SparkSession, sf: str) -> DataFrame:
         (DIMENSION, TableSpec(("id",), FEED_ORDER)), "data3", ["name"],
     )
     events = feed(spark, sf)
-    events.repartition(landing_files(spark)).write.parquet(f"{root}/in")
+    dealt(events, "pos").write.parquet(f"{root}/in")
     stream = (
         spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", per_trigger(spark, 2))
+        .option("maxFilesPerTrigger", per_trigger(spark, f"{root}/in", 2))
         .parquet(f"{root}/in")
     )
 

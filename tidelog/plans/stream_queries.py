@@ -9,7 +9,7 @@ from tidelog.functions.images import image_map
 from tidelog.operators.changes import current_state
 from tidelog.operators.ordered import previous
 from tidelog.plans.inputs import (
-    FEED_ORDER, IMAGE, env_sql, envelopes, feed, feed_sql, feed_stream, land_text, ntz,
+    FEED_ORDER, IMAGE, env_sql, feed, feed_sql, feed_stream, land_feed, ntz,
     per_trigger, state_sql,
 )
 from tidelog.plans.registry import query
@@ -109,9 +109,10 @@ def st_running_metric(spark: SparkSession, sf: str) -> DataFrame:
     events = previous(held, ["id"], FEED_ORDER, {"held": "prior"})
     # A snapshot or insert event of a key that exists replaces its row like an update.
     upserts = F.when(F.col("op") != "d", "u").otherwise("d")
-    land_text(envelopes(events.withColumn("op", upserts), F.col("prior")), f"{root}/in")
+    land_feed(events.withColumn("op", upserts), f"{root}/in", F.col("prior"))
     stream = decode(
-        read_feed(spark, f"{root}/in", streaming=True, files_per_trigger=per_trigger(spark))
+        read_feed(spark, f"{root}/in", streaming=True,
+                  files_per_trigger=per_trigger(spark, f"{root}/in"))
     )
     changes = stream.select(
         "op",
@@ -199,7 +200,7 @@ def st_resume(spark: SparkSession, sf: str) -> DataFrame:
     t = state_table(spark, f"{root}/table")
     early = F.col("dt") <= "2024-01-12"
     for n, part in enumerate((early, ~early)):
-        land_text(envelopes(feed(spark, sf).where(part)), f"{root}/in/part={n}")
+        land_feed(feed(spark, sf).where(part), f"{root}/in/part={n}")
         stream = decode(read_feed(spark, f"{root}/in", streaming=True))
         finish(stream_upsert(typed_changes(stream, IMAGE), t, f"{root}/checkpoint"))
     return rows(t)

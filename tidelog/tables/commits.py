@@ -163,6 +163,13 @@ def read(
     )
 
 
+def size(spark: SparkSession, root: str, commits: Sequence[str], label: str = "commit_time") -> int:
+    """Bytes of the files of some commits."""
+    fs, _ = _path(spark, root)
+    paths = [_path(spark, f"{root}/{label}={c}")[1] for c in commits]
+    return sum(fs.getContentSummary(p).getLength() for p in paths)
+
+
 def listing(spark: SparkSession, ids: Sequence[tuple[str, str]]) -> DataFrame:
     """Timeline as rows, newest first. One row per commit, so it is small."""
     rows = spark.createDataFrame(list(ids), "commit_time string, kind string")

@@ -20,6 +20,8 @@ from tidelog.tables import commits
 
 COMMIT = "commit_time"
 FIRST = "000"
+# Keys of commits no larger than this pass Spark's size check for a broadcast.
+FEW_BYTES = 8 << 20
 
 
 def resolve(
@@ -427,9 +429,15 @@ class MergeOnRead(KeyedTable):
         """What the commits (after, upto] changed: the keys, and the row before (`old`) and behind
         (`new`) as structs of the table's columns; null where there was or is none.
 
-        Only rows of touched keys are ranked; a truncation touches all rows there were.
+        Of small commits only rows of touched keys are ranked: their keys are broadcast and cut the
+        log before any shuffle. Keys of large ones would have the log shuffled row by row, so there
+        it is ranked first and a task ships one row per key. A truncation touches all rows there were.
         """
         keys = list(self.spec.keys)
+        wrote = sum(
+            commits.size(self.spark, f"{self.path}/{kind}", self._between(kind, after, upto))
+            for kind in ("log", "patches", "deletes")
+        )
         rows, deletes = self._changes(after, upto)
         patches = self._patches(self._between("patches", after, upto))
         touched = rows.select(*keys)
@@ -439,16 +447,17 @@ class MergeOnRead(KeyedTable):
         if before is not None and self._cut(upto) > after:
             touched = touched.unionByName(before.select(*keys))
         touched = touched.distinct()
+        only = touched if wrote <= FEW_BYTES and not self._cut(upto) > after else None
 
         def image(state, name):
             row = F.struct(*(F.col(c).alias(c) for c in self.columns)).alias(name)
             return state.where("op <> 'd'").join(touched, keys, "left_semi").select(*keys, row)
 
-        new = image(self._state(upto, touched), "new")
+        new = image(self._state(upto, only), "new")
         if before is None:
             kind = new.schema["new"].dataType
             return new.select(*keys, F.lit(None).cast(kind).alias("old"), "new")
-        old = image(self._state(after, touched), "old")
+        old = image(self._state(after, only), "old")
         return old.join(new, keys, "full").select(*keys, "old", "new").where("not (old <=> new)")
 
     def bulk_insert(self, df: DataFrame, commit: str | None = None) -> str:

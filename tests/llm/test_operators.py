@@ -95,6 +95,39 @@ def test_cached_tokens_equal_the_library(name, kind):
     assert tokens.Encoder(path, kind).encode(listed) == tokens.Encoder(path, None).encode(listed) == want
 
 
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
+def test_known_parts_are_looked_up_once(name, kind):
+    looked = []
+
+    class Part(str):
+        def __hash__(self):
+            looked.append(self)
+            return super().__hash__()
+
+    tool = tokens.Encoder(public_tokenizers.path(name), kind)
+    listed = ["the cat and the dog, the end. " * 20, "a dog and a cat"]
+    known = tool.encode(listed)
+    cut = tool.parts
+    tool.parts = lambda text: [Part(p) for p in cut(text)]
+    assert tool.encode(listed) == known
+    assert len(looked) == sum(len(cut(t)) for t in listed)
+
+
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
+def test_dropped_parts_are_encoded_again(monkeypatch, name, kind):
+    monkeypatch.setattr(tokens, "MOST_KEPT", 30)
+    monkeypatch.setattr(tokens, "MOST_CHARS", 2000)
+    r = random.Random(5)
+    path = public_tokenizers.path(name)
+    tool, plain = tokens.Encoder(path, kind), tokens.Encoder(path, None)
+    for _ in range(60):
+        listed = [" ".join(r.choice(["the", "of", "x" * r.randint(1, 300), f"w{r.randint(0, 90)}"])
+                           for _ in range(r.randint(0, 12))) for _ in range(4)]
+        assert tool.encode(listed) == plain.encode(listed)
+        assert len(tool.number) <= 30 and tool.chars <= 2000 and len(tool.starts) == len(tool.number) + 1
+    assert set(tool.parts(" the of")[1:]) <= set(tool.number)  # met again and again
+
+
 TOKENS = [(None, None), (3, ""), (2, "Hello world don't <|endoftext|>"), (7, "x y " * 3000), (5, "日本 語"),
           (7, "dup"), (2, "Hello world don't <|endoftext|>"), (None, "n"), *((i, o) for i, o in enumerate(ODD, 20))]
 

@@ -24,13 +24,17 @@ _APOSTROPHE = "'(?:s|t|re|ve|m|ll|d)"
 # Inside a part between blanks the library cuts between letters, digits and all other characters.
 _CUT = {
     "words": re.compile(rf"{_APOSTROPHE}|[{_L}]+|[{_N}]|[^ \t\n\r{_L}{_N}]+").findall,
-    "bytes": lambda part: (part,),
+    "bytes": None,  # its parts are words already
 }
 # Bytes as the models of both files write them: printable ones as they are, the others from 256 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _WRITTEN = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
 
 
+def _written(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_WRITTEN)
+
+
 def _words(text: str) -> list[str]:
     """Lower-cased words; white space is dropped, and no token reaches over it."""
     return text.lower().split()
@@ -42,11 +46,29 @@ _PIECES = re.compile(rf"{_APOSTROPHE}| ?[{_L}{_U}]+| ?[{_N}]+| ?[^ \t\n\r{_L}{_U
 # A blank goes with the word behind it; other white space stands alone, but for its last one.
 _PARTS = {"words": _words, "bytes": _PIECES}
 _TRIED = ["don't", "'RE23're", "..'s", "é9²", "\x7f!", "zzzqx", "a_b-c", "\x02"]
-MOST_KEPT = 300_000  # parts, and words, of one generation of a worker's cache; it holds two
-LONGEST_KEPT = 64  # characters of a part that is kept
+MOST_KEPT = 400_000  # parts of a worker's cache, after which those met once since the last time are dropped
+MOST_CHARS = 8 << 20  # characters of its parts, likewise
+MOST_WORDS = 300_000  # words of parts, of one generation; a worker holds two
+LONGEST_KEPT = 64  # characters of a part, or word, that is kept
 _loaded: dict[str, Encoder] = {}
 
 
+class Numbers(dict):
+    """The number of each part; a new one gets the next."""
+
+    def __init__(self, parts: list[str] = ()):
+        super().__init__(zip(parts, range(len(parts))))
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.new.append(part)
+        return number
+
+    def of(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+
+
 class Encoder:
     """kind "words" for a lower-casing BPE of words, "bytes" for a byte-level BPE, None to send
     every text to the library as a whole."""
@@ -57,8 +79,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = _PARTS[kind] if kind else None
-        self.cache: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.number = Numbers()
+        self.ids, self.starts = array("I"), array("q", [0])  # ids of all parts, and where those of each begin
+        self.met = np.zeros(0, np.int64)  # how often each part was met
+        self.chars = 0
         # Texts with what may be a special string go to the library, which knows them.
         special = os.path.commonprefix([t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
         self.special = re.match("[^A-Za-z]*", special)[0]
@@ -68,8 +92,9 @@ class Encoder:
         if kind:
             self.cut, self.model = _CUT[kind], self.tokenizer.model
             tried = [p for text in _TRIED for p in self.parts(text)]
-            self.learn(tried)
-            if [self.cache[p] for p in tried] != self.library(tried):
+            found = [self.number.of([p]) for p in tried]
+            self.learn()
+            if self.put_together(found) != self.library(tried):
                 raise ValueError(f"the tokenizer does not cut texts like one of kind {kind!r}")
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -80,49 +105,77 @@ class Encoder:
             if self.parts is None or self.any_special and self.special in text or _ODD.search(text):
                 whole.append(i)
             else:
-                split[i] = self.parts(text)
+                split[i] = self.number.of(self.parts(text))
         if whole:
             for i, ids in zip(whole, self.library([texts[i] for i in whole])):
                 out[i] = ids
         if split:
-            new = set()
-            for parts in split.values():
-                new.update(parts)
-            new = [p for p in new if p not in self.cache]
-            self.cache.update((p, self.older[p]) for p in new if p in self.older)
-            self.learn([p for p in new if p not in self.cache])
-            look = self.cache.__getitem__
-            for i, parts in split.items():
-                out[i] = b"".join(map(look, parts))
-            for p in new:
-                if len(p) > LONGEST_KEPT:
-                    del self.cache[p]
-            if len(self.cache) > MOST_KEPT:
-                self.older, self.cache = self.cache, {"": b""}
+            self.learn()
+            for i, ids in zip(split, self.put_together(list(split.values()))):
+                out[i] = ids
+            if len(self.number) > MOST_KEPT or self.chars > MOST_CHARS:
+                self.drop()
         return out
 
     def library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def learn(self, parts: list[str]) -> None:
+    def learn(self) -> None:
         """Keep the ids of new parts, put together from those of their words."""
-        if len(self.words) > MOST_KEPT:
+        parts, self.number.new = self.number.new, []
+        self.chars += sum(map(len, parts))
+        keep, begin, tokenize = self.ids, self.starts, self.model.tokenize
+        if self.cut is None:
+            for written in _written("\0".join(parts)).split(_WRITTEN[0]) if parts else ():
+                keep.fromlist([t.id for t in tokenize(written)])
+                begin.append(len(keep))
+            return
+        if len(self.words) > MOST_WORDS:
             self.older_words, self.words = self.words, {}
         words, older, cut = self.words, self.older_words, self.cut
         for part in parts:
-            found = []
             for word in cut(part):
                 ids = words.get(word)
                 if ids is None:
                     ids = older.get(word)
                     if ids is None:
-                        written = word.encode().decode("latin-1").translate(_WRITTEN)
-                        ids = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-                    if len(word) <= LONGEST_KEPT and word is not part:
+                        ids = array("I", [t.id for t in tokenize(_written(word))]).tobytes()
+                    if len(word) <= LONGEST_KEPT:
                         words[word] = ids
-                found.append(ids)
-            self.cache[part] = b"".join(found)
+                keep.frombytes(ids)
+            begin.append(len(keep))
+
+    def put_together(self, found: list[np.ndarray]) -> list[bytes]:
+        """The ids of texts, each given as the numbers of its parts."""
+        ids, starts = np.frombuffer(self.ids, "<u4"), np.frombuffer(self.starts, np.int64)
+        at = np.concatenate(found)
+        met = np.bincount(at, minlength=len(self.number))
+        met[:len(self.met)] += self.met
+        self.met = met
+        first = starts[at]
+        length = starts[at + 1] - first
+        ends = np.cumsum(length)
+        place = np.repeat(first - ends + length, length)
+        place += np.arange(len(place))
+        flat = ids[place]
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])].tolist()
+        return [flat[a:z].tobytes() for a, z in zip(bounds, bounds[1:])]
+
+    def drop(self) -> None:
+        """Of the cache, keep the parts met again and again, at most half of what it may hold."""
+        most = np.argsort(-self.met, kind="stable")[:MOST_KEPT // 2]
+        again = np.zeros(len(self.met), bool)
+        again[most] = self.met[most] > 1
+        kept = [(p, n) for p, n in self.number.items() if again[n] and len(p) <= LONGEST_KEPT]
+        ids, starts = self.ids, self.starts
+        self.ids, self.starts = array("I"), array("q", [0])
+        for _, n in kept:
+            self.ids.extend(ids[starts[n]:starts[n + 1]])
+            self.starts.append(len(self.ids))
+        self.number = Numbers([p for p, _ in kept])
+        self.met = np.zeros(len(kept), np.int64)
+        self.chars = sum(len(p) for p, _ in kept)
 
 
 def encoder(path: str, kind: str | None) -> Encoder:

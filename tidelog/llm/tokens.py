@@ -46,7 +46,7 @@ _PIECES = re.compile(rf"{_APOSTROPHE}| ?[{_L}{_U}]+| ?[{_N}]+| ?[^ \t\n\r{_L}{_U
 # A blank goes with the word behind it; other white space stands alone, but for its last one.
 _PARTS = {"words": _words, "bytes": _PIECES}
 _TRIED = ["don't", "'RE23're", "..'s", "é9²", "\x7f!", "zzzqx", "a_b-c", "\x02"]
-MOST_KEPT = 400_000  # parts of a worker's cache, after which those met once since the last time are dropped
+MOST_KEPT = 300_000  # parts of a worker's cache, after which those met once since the last time are dropped
 MOST_CHARS = 8 << 20  # characters of its parts, likewise
 MOST_WORDS = 300_000  # words of parts, of one generation; a worker holds two
 LONGEST_KEPT = 64  # characters of a part, or word, that is kept
@@ -148,34 +148,36 @@ class Encoder:
 
     def put_together(self, found: list[np.ndarray]) -> list[bytes]:
         """The ids of texts, each given as the numbers of its parts."""
-        ids, starts = np.frombuffer(self.ids, "<u4"), np.frombuffer(self.starts, np.int64)
         at = np.concatenate(found)
         met = np.bincount(at, minlength=len(self.number))
         met[:len(self.met)] += self.met
         self.met = met
+        flat, bounds = self.gathered(at)
+        bounds = bounds[np.cumsum([0, *map(len, found)])].tolist()
+        return [flat[a:z].tobytes() for a, z in zip(bounds, bounds[1:])]
+
+    def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts by number, one behind the other, and where each begins."""
+        ids, starts = np.frombuffer(self.ids, "<u4"), np.frombuffer(self.starts, np.int64)
         first = starts[at]
         length = starts[at + 1] - first
-        ends = np.cumsum(length)
-        place = np.repeat(first - ends + length, length)
+        bounds = np.concatenate([[0], np.cumsum(length)])
+        place = np.repeat(first - bounds[:-1], length)
         place += np.arange(len(place))
-        flat = ids[place]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])].tolist()
-        return [flat[a:z].tobytes() for a, z in zip(bounds, bounds[1:])]
+        return ids[place], bounds
 
     def drop(self) -> None:
         """Of the cache, keep the parts met again and again, at most half of what it may hold."""
-        most = np.argsort(-self.met, kind="stable")[:MOST_KEPT // 2]
-        again = np.zeros(len(self.met), bool)
-        again[most] = self.met[most] > 1
-        kept = [(p, n) for p, n in self.number.items() if again[n] and len(p) <= LONGEST_KEPT]
-        ids, starts = self.ids, self.starts
-        self.ids, self.starts = array("I"), array("q", [0])
-        for _, n in kept:
-            self.ids.extend(ids[starts[n]:starts[n + 1]])
-            self.starts.append(len(self.ids))
-        self.number = Numbers([p for p, _ in kept])
-        self.met = np.zeros(len(kept), np.int64)
-        self.chars = sum(len(p) for p, _ in kept)
+        parts = list(self.number)  # in the order of their numbers
+        most = np.sort(np.argsort(-self.met, kind="stable")[:MOST_KEPT // 2])
+        at = [n for n in most[self.met[most] > 1].tolist() if len(parts[n]) <= LONGEST_KEPT]
+        ids, starts = self.gathered(np.array(at, np.int64))
+        self.ids, self.starts = array("I", ids.tobytes()), array("q", starts.tobytes())
+        self.number.clear()
+        parts = [parts[n] for n in at]
+        self.number = Numbers(parts)
+        self.met = np.zeros(len(parts), np.int64)
+        self.chars = sum(map(len, parts))
 
 
 def encoder(path: str, kind: str | None) -> Encoder:

@@ -97,6 +97,13 @@ def test_cluster_needs_a_shared_database_and_folder(spark):
     assert session.shared_dir(one) == session.shared_dir(one) == one.dir
 
 
+def test_executors_in_processes_of_their_own_need_a_shared_database():
+    with pytest.raises(RuntimeError, match=jdbc.URL_CONF):
+        jdbc.connection(Session("local-cluster[2,2,1500]"), "x")
+    for master in ("local", "local[2]", "local[*]"):
+        assert jdbc.connection(Session(master), "x")["url"].startswith("jdbc:derby:memory:x")
+
+
 def test_catalog(spark):
     db = catalog.new_database(spark, "tests")
     df = spark.createDataFrame([(1, "a", "09"), (2, "b", "10")], "id int, name string, hh string")

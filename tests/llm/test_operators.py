@@ -356,6 +356,61 @@ def test_family_of_partial_links(spark, compare):
     assert compare(minhash.near_duplicates(spark.createDataFrame(docs, DOCS), words=2)) == brute.near(docs)
 
 
+def test_lists_shared_by_chance(spark, compare, monkeypatch):
+    """Texts with a common part share lists and are not alike: their sets are not moved."""
+    r = random.Random(3)
+    common = " ".join(f"c{i}" for i in range(45))
+    docs = [(i, f"{common} " + " ".join(f"x{r.randrange(10**6)}" for _ in range(75))) for i in range(120)]
+    docs += [(500 + i, docs[i][1] + " end") for i in range(3)]
+    moved, move = [], minhash.with_sets
+
+    def counted(asked, sets):
+        if "shingles" in sets.columns:
+            moved.append(asked.count())
+        return move(asked, sets)
+
+    monkeypatch.setattr(minhash, "with_sets", counted)
+    assert compare(minhash.near_duplicates(spark.createDataFrame(docs, DOCS), words=2)) == brute.near(docs)
+    assert 6 <= sum(moved) <= 12  # once or twice the three pairs
+
+
+def test_family_over_many_tiles(spark, compare, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 7)
+    monkeypatch.setattr(minhash, "BUNDLE", 50)
+    r = random.Random(10)
+    docs = []
+    for i in range(60):
+        w = [f"b{k}" for k in range(80)]
+        for k in r.sample(range(80), r.choice([3, 5, 7, 9])):
+            w[k] = f"x{r.randrange(10**6)}"
+        docs.append((i, " ".join(w)))
+    assert compare(minhash.near_duplicates(spark.createDataFrame(docs, DOCS), words=2)) == brute.near(docs)
+    assert spark.conf.get(minhash.SWEEP, None) != "true"
+
+
+def test_near_members_of_a_tile(monkeypatch):
+    monkeypatch.setattr(minhash, "CELLS", 300)
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        m = int(rng.integers(2, 25))
+        base = rng.integers(-128, 128, (3, minhash.COORDINATES))
+        sketches = np.where(rng.random((m, minhash.COORDINATES)) < 0.6, base[rng.integers(0, 3, m)],
+                            rng.integers(-128, 128, (m, minhash.COORDINATES))).astype(np.int8)
+        r, n = rng.permutation(m) + 100, rng.integers(60, 101, m)
+        g = rng.integers(0, 5, m)
+        few = g != np.bincount(g).argmax()
+        row = np.concatenate([np.arange(m), np.flatnonzero(few)])  # all answer, the few ask as well
+        asks = np.arange(len(row)) >= m
+        got = minhash.near_in(sketches[row], r[row], n[row], g[row], few[row], asks, 20, 80)
+        pairs = [(a, z) for a in range(m) for z in range(a) if g[a] != g[z]
+                 and 100 * min(n[a], n[z]) >= 80 * max(n[a], n[z]) and (sketches[a] == sketches[z]).sum() >= 20]
+        assert {a for a, _ in got} == {int(r[x]) for p in pairs for x in p}
+        name = {a: z for a, z in got}
+        tied = [{int(g[x]) for x in range(m) if name.get(int(r[x])) == z} for z in set(name.values())]
+        assert all(name[int(r[a])] == name[int(r[z])] for a, z in pairs)
+        assert sum(map(len, tied)) == len(set().union(*tied))  # a group has one name
+
+
 CHATS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"),
          (None, None, None, None), (None, 3, "assistant", "<\\s> [\\\\INST] <s"), (-8, 1, "assistant", "\\<s>"),
          (-8, 1, "assistant", "\\<s>"), (-8, 0, "as</s>", ""), *((5, t, "user", f"t{t}") for t in range(40, 0, -1))]
